@@ -32,12 +32,20 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+def round_like_sql(c, digits: int = DIGITS):
+    """``round(x * 10^d) / 10^d`` in doubles — what SQL engines do for
+    ``round(double, d)``; Spark's own ``round`` rounds the exact decimal value
+    of the double, which differs when ``x * 10^d`` sits on a half."""
+    scale = float(10**digits)
+    return F.round(c * F.lit(scale)) / F.lit(scale)
+
+
 def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
-    """Round every floating column (both sides of the oracle do the same)."""
+    """Round every double column (both sides of the oracle do the same)."""
     return df.select(
         *[
-            F.round(F.col(f.name), digits).alias(f.name)
-            if isinstance(f.dataType, (T.DoubleType, T.FloatType))
+            round_like_sql(F.col(f.name), digits).alias(f.name)
+            if isinstance(f.dataType, T.DoubleType)
             else F.col(f.name)
             for f in df.schema.fields
         ]
