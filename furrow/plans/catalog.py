@@ -37,7 +37,10 @@ def round_like_sql(c, digits: int = DIGITS):
     ``round(double, d)``; Spark's own ``round`` rounds the exact decimal value
     of the double, which differs when ``x * 10^d`` sits on a half."""
     scale = float(10**digits)
-    return F.round(c * F.lit(scale)) / F.lit(scale)
+    scaled = c * F.lit(scale)
+    back = F.round(scaled) / F.lit(scale)
+    # like SQL engines: keep the input when the scaled value overflows
+    return F.when(F.abs(scaled) == F.lit(float("inf")), c).otherwise(back)
 
 
 def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:

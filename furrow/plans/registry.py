@@ -9,6 +9,7 @@ from furrow.plans.catalog import ORACLE, QUERIES
 _MODULES = [
     "furrow.plans.q_groups",
     "furrow.plans.q_rows",
+    "furrow.plans.q_encode",
 ]
 
 
