@@ -10,6 +10,7 @@ _MODULES = [
     "furrow.plans.q_groups",
     "furrow.plans.q_rows",
     "furrow.plans.q_encode",
+    "furrow.plans.q_eval",
 ]
 
 
