@@ -35,6 +35,11 @@ def checked_broadcast(
     return lookup, False
 
 
+def is_small(lookup: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """Row-count check of an already materialised lookup."""
+    return lookup.count() <= max_rows
+
+
 def join_lookup(
     df: DataFrame,
     lookup: DataFrame,
@@ -43,13 +48,19 @@ def join_lookup(
     null_safe: bool = True,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
     already_materialized: bool = False,
+    known_small: bool | None = None,
 ) -> DataFrame:
     """Left-join ``lookup`` on ``keys``; null keys match null keys when
     ``null_safe`` (pandas ``merge`` on a ``dropna=False`` group-by does).
 
-    The key columns of the result are the row side's.
+    ``known_small`` skips the count when the caller already checked the size
+    (``True``: broadcast, ``False``: shuffle join). The key columns of the
+    result are the row side's.
     """
-    small, _ = checked_broadcast(lookup, max_broadcast_rows, already_materialized)
+    if known_small is None:
+        small, _ = checked_broadcast(lookup, max_broadcast_rows, already_materialized)
+    else:
+        small = F.broadcast(lookup) if known_small else lookup
     renamed = small.select(
         *[F.col(k).alias(f"__lk_{k}") for k in keys],
         *[c for c in small.columns if c not in keys],

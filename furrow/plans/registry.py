@@ -11,6 +11,8 @@ _MODULES = [
     "furrow.plans.q_rows",
     "furrow.plans.q_encode",
     "furrow.plans.q_eval",
+    "furrow.plans.q_models",
+    "furrow.plans.q_stream",
 ]
 
 

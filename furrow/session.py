@@ -77,3 +77,16 @@ def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint (survives executor loss)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def write_table(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut lineage by writing Parquet to the shared folder and reading it back.
+
+    Used for wide intermediate frames: later stages then read only the columns
+    they need (column pruning), which a row-based checkpoint cannot offer.
+    Partition layout is not preserved — use :func:`materialize` when the
+    partition a row sits in matters.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
