@@ -17,6 +17,7 @@ from furrow.functions.scalar import spec_columns
 from furrow.operators.encoders import fit_count_encoder
 from furrow.operators.impute import column_max, constant_columns
 from furrow.plans import irrigation as irr
+from furrow.session import tune_wide, write_table
 
 
 def _stage(df: DataFrame, maxes: dict) -> DataFrame:
@@ -35,16 +36,18 @@ def _stage(df: DataFrame, maxes: dict) -> DataFrame:
 
 def run_all_features(train: DataFrame, test: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
     """Returns ``(train, test, dropped_columns)``."""
+    tune_wide(train.sparkSession)
     maxes = column_max(train, irr.SECOND_NUM_COLS)
-    tr, te = _stage(train, maxes), _stage(test, maxes)
+    # written once: later steps (fit, encode, constant check) reuse them, and
+    # the lookup joins do not fuse with ~300 expressions into one huge method
+    tr = write_table(_stage(train, maxes), "second-train")
+    te = write_table(_stage(test, maxes), "second-test")
     cats = [*irr.BASE_CATEGORICAL_COLS, *["__".join(g) for g in [*irr.CROSS_PAIRS, *irr.CROSS_TRIPLETS]]]
     enc = fit_count_encoder(tr, cats)
 
     def encode(df: DataFrame) -> DataFrame:
-        out = df
-        for c in cats:
-            out = enc.transform(out, [c], suffix="__ce").withColumnRenamed(f"{c}__ce", f"ce_{c}")
-        return out
+        out = enc.transform(df, cats, suffix="__ce")
+        return out.select(*[F.col(c).alias(f"ce_{c[:-4]}") if c.endswith("__ce") else F.col(c) for c in out.columns])
 
     tr, te = encode(tr), encode(te)
     drop = constant_columns(te)
