@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furrow.llm import packing, simhash
+from furrow.llm import packing, simhash, warc
 from furrow.llm.common import table
+from furrow.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -40,3 +41,23 @@ def packed(docs: DataFrame) -> DataFrame:
 @query("op9_packing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op10_warc",
+    """
+    WITH p AS (
+        SELECT page_id, sha256(coalesce(html, '')) AS payload_digest, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes
+        FROM pages),
+    f AS (SELECT payload_digest, min(page_id) AS first FROM p GROUP BY payload_digest)
+    SELECT page_id, payload_bytes, payload_digest,
+        CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+        CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+    FROM p JOIN f USING (payload_digest)
+    """,
+)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "warc")
+    warc.write_warc(table(spark, sf_dir, "pages"), folder)
+    found = warc.read_warc(spark, folder, payloads=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
