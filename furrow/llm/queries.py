@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furrow.llm import packing, simhash, warc
+from furrow.llm import chat, decontam, lines, packing, simhash, warc
 from furrow.llm.common import table
 from furrow.session import scratch_path
 
@@ -61,3 +61,64 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     warc.write_warc(table(spark, sf_dir, "pages"), folder)
     found = warc.read_warc(spark, folder, payloads=False)
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query(
+    "op5_line_dedup",
+    """
+    WITH pg AS (SELECT DISTINCT source, text FROM documents WHERE text IS NOT NULL),
+    tot AS (SELECT source, count(*) AS pages FROM pg GROUP BY 1),
+    ln AS (
+        SELECT source, unnest(list_distinct(list_transform(string_split(text, chr(10)), lambda x: trim(x, ' ' || chr(9) || chr(13) || chr(12) || chr(11))))) AS line
+        FROM pg),
+    boil AS (
+        SELECT ln.source, line FROM ln JOIN tot ON ln.source IS NOT DISTINCT FROM tot.source WHERE line <> ''
+        GROUP BY ln.source, line, pages HAVING count(*) >= 5 AND count(*) > CAST(0.02 AS DOUBLE) * pages),
+    per AS (SELECT source, list(line) AS drops FROM boil GROUP BY 1),
+    d AS (
+        SELECT doc_id, text, string_split(text, chr(10)) AS lines,
+            list_filter(string_split(text, chr(10)), lambda x: NOT list_contains(coalesce(drops, []), trim(x, ' ' || chr(9) || chr(13) || chr(12) || chr(11)))) AS kept
+        FROM documents LEFT JOIN per ON documents.source IS NOT DISTINCT FROM per.source)
+    SELECT doc_id, CAST(coalesce(len(lines), 0) AS BIGINT) AS n_lines, CAST(coalesce(len(lines) - len(kept), 0) AS BIGINT) AS n_dropped,
+        CASE WHEN text IS NOT NULL THEN coalesce(array_to_string(kept, chr(10)), '') END AS text
+    FROM d
+    """,
+)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return lines.drop_boilerplate(docs, ratio=0.02, min_pages=5).select("doc_id", "n_lines", "n_dropped", "text")
+
+
+@query(
+    "op6_chat_formatting",
+    """
+    WITH t AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
+    n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS pos FROM t),
+    p AS (SELECT conv_id, pos, list({'r': role, 't': text}) OVER (PARTITION BY conv_id ORDER BY pos) AS pre FROM n),
+    e AS (SELECT conv_id, max(pos) AS n, arg_max(pre, pos) AS whole FROM p GROUP BY 1),
+    inner_ AS (SELECT DISTINCT pre FROM p JOIN e USING (conv_id) WHERE pos < n),
+    kept AS (SELECT min(conv_id) AS conv_id FROM e WHERE whole NOT IN (SELECT pre FROM inner_) GROUP BY whole)
+    SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
+        string_agg('<|im_start|>' || coalesce(role, 'unknown') || chr(10) || replace(coalesce(text, ''), '<|', '< |') || '<|im_end|>' || chr(10), '' ORDER BY pos) AS text
+    FROM n WHERE conv_id IN (SELECT conv_id FROM kept) GROUP BY conv_id
+    """,
+)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.render_chats(table(spark, sf_dir, "conversations"))
+
+
+@query(
+    "op7_benchmark_decontamination",
+    r"""
+    WITH w AS (SELECT doc_id, string_split(trim(regexp_replace(lower(text), '[ \t-\r]+', ' ', 'g')), ' ') AS w FROM documents WHERE text IS NOT NULL),
+    ds AS (SELECT doc_id, unnest(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))) AS s FROM w),
+    v AS (SELECT item_id, string_split(trim(regexp_replace(lower(text), '[ \t-\r]+', ' ', 'g')), ' ') AS w FROM benchmark WHERE text IS NOT NULL),
+    bs AS (SELECT item_id, unnest(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))) AS s FROM v),
+    n AS (SELECT item_id, count(*) AS n_shingles FROM bs GROUP BY 1)
+    SELECT doc_id, item_id, CAST(n_shingles AS BIGINT) AS n_shingles, CAST(count(*) AS BIGINT) AS n_found, count(*) / n_shingles AS containment
+    FROM ds JOIN bs USING (s) JOIN n USING (item_id)
+    GROUP BY doc_id, item_id, n_shingles HAVING count(*) >= CAST(0.8 AS DOUBLE) * n_shingles - 1e-9
+    """,
+)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=5, threshold=0.8)
