@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furrow.llm import chat, decontam, lines, packing, simhash, warc
+from furrow.llm import chat, decontam, lines, packing, simhash, substring, warc
 from furrow.llm.common import table
 from furrow.session import scratch_path
 
@@ -122,3 +122,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=5, threshold=0.8)
+
+
+@query("op2_substring_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring.remove_repeats(table(spark, sf_dir, "documents"), width=20)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
