@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furrow.llm import chat, decontam, lines, packing, simhash, substring, warc
+from furrow.llm import chat, decontam, digest, lines, packing, simhash, substring, warc
 from furrow.llm.common import table
 from furrow.session import scratch_path
 
@@ -128,3 +128,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring.remove_repeats(table(spark, sf_dir, "documents"), width=20)
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query("op4_document_fingerprints")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return digest.compare_edited(docs, digest.fit_ranks(docs))

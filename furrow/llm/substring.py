@@ -44,10 +44,10 @@ _FOUND = pa.schema([("k", pa.int64()), ("th", pa.int64()), ("at", pa.binary())])
 _FOUND_SQL = "k long, th long, at binary"
 
 
-def buckets_for(docs: DataFrame, bucket_bytes: int) -> int:
-    """Number of buckets: the planner's estimate of the input's bytes over ``bucket_bytes``, 16 at least."""
-    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return max(16, min(1 << 24, math.ceil(size / bucket_bytes)))
+def buckets_for(docs: DataFrame, bucket_bytes: int, least: int = 16) -> int:
+    """Number of buckets: bytes of all texts (one narrow pass) over ``bucket_bytes``, ``least`` at least."""
+    size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    return max(least, math.ceil(size / bucket_bytes))
 
 
 def _spans(values: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -252,7 +252,7 @@ def repeated_windows(base: DataFrame, width: int, scratch: Scratch, bucket_bytes
 
 
 def remove_repeats(
-    docs: DataFrame, width: int = 20, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = 32 << 20
+    docs: DataFrame, width: int = 20, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = 48 << 20
 ) -> DataFrame:
     """One row for each row of ``docs``: ``doc_id, n_words, n_removed, text`` (the kept words joined by one space).
 
