@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furrow.llm import chat, decontam, digest, lines, packing, simhash, substring, warc
+from furrow.llm import chat, decontam, digest, lines, packing, simhash, substring, toxicity, warc
 from furrow.llm.common import table
 from furrow.session import scratch_path
 
@@ -134,3 +134,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return digest.compare_edited(docs, digest.fit_ranks(docs))
+
+
+@query("op3_toxicity")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.7)
