@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from furrow.llm.common import Scratch
+
 MANIFEST = "part int, seq int, name string, temp string, records long, bytes long, sha256 string"
 RECORD = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
 
@@ -109,13 +111,17 @@ _MANIFEST = pa.schema(
 
 
 def records(pages: DataFrame, least: int = 100, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``pages`` with ``digest``, ``refers_to`` and ``revisit``.
+    """The rows to write, ``page_id, digest, refers_to, url, html``, and ahead of them the rows that revisit.
 
     Of payloads of at least ``least`` bytes that are equal, the record with the
     smallest page_id is the response and the others revisit it. Shorter ones
     are all responses. Rows that repeat that smallest page_id with the same
     payload are responses too. A null page_id ranks after all others and, if
     only such rows have a payload, they are responses.
+
+    A row without html (null; payloads are not null here) says that all rows of
+    its page_id and digest revisit ``refers_to``. Sorted by (page_id, digest,
+    html IS NOT NULL) it comes just before them, so the texts are shuffled once.
     """
     p = pages.select(
         F.col(id_col).cast("long").alias("page_id"),
@@ -124,11 +130,11 @@ def records(pages: DataFrame, least: int = 100, id_col: str = "page_id", url_col
     ).withColumn("digest", F.sha2(F.col("html").cast("binary"), 256))
     big = p.where(F.octet_length("html") >= least)
     firsts = big.groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1 AND first IS NOT NULL").drop("n")
-    # narrow rows meet on the digest, where one may be hot; the texts meet them on page_id, where none is
     later = big.select("page_id", "digest").join(firsts, "digest").where("page_id IS NULL OR page_id > first").distinct()
-    later = later.select(F.col("page_id").alias("_id"), F.col("digest").alias("_digest"), F.col("first").alias("refers_to"))
-    return p.join(later, F.col("page_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")), "left").select(
-        "page_id", "url", "html", "digest", "refers_to"
+    later = Scratch(pages.sparkSession, "warc").write(later, "revisits")
+    text = F.lit(None).cast("string")
+    return p.select("page_id", "digest", F.lit(None).cast("long").alias("refers_to"), "url", "html").unionByName(
+        later.select("page_id", "digest", F.col("first").alias("refers_to"), text.alias("url"), text.alias("html"))
     )
 
 
@@ -149,8 +155,13 @@ def write_warc(
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = _Shard(folder, TaskContext.get().partitionId())
+        revisited = None, None, None
         for part in parts:
-            for page_id, url, html, digest, refers_to in zip(*(c.to_pylist() for c in part.columns), strict=True):
+            for page_id, digest, refers_to, url, html in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                if html is None:
+                    revisited = page_id, digest, refers_to
+                    continue
+                refers_to = revisited[2] if revisited[:2] == (page_id, digest) else None
                 date = start + timedelta(seconds=(page_id or 0) % 3_155_760_000)
                 payload = html.encode("utf-8", "surrogatepass")
                 data = record(page_id, url, payload, digest, refers_to, refers_to is not None, date)
@@ -159,8 +170,8 @@ def write_warc(
         if shard.out is not None:
             yield _rows([shard.close()], _MANIFEST)
 
-    order = ["page_id", "digest", "url"]
-    sorted_ = records(pages, least, **columns).repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = records(pages, least, **columns)
+    sorted_ = rows.repartitionByRange("page_id", "digest").sortWithinPartitions("page_id", "digest", F.col("html").isNotNull(), "url")
     # written before anything is renamed, so that no task runs a second time after the commit
     listed = f"{folder}/_manifest.tmp.parquet"
     sorted_.mapInArrow(run, MANIFEST).write.mode("overwrite").parquet(listed)
@@ -243,4 +254,4 @@ def read_warc(spark: SparkSession, folder: str, payloads: bool = True) -> DataFr
 
     files = read_manifest(spark, folder).select("name", "records")
     schema_sql = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields if f.name in names)
-    return files.repartition("name").mapInArrow(run, schema_sql)
+    return files.repartition(max(1, files.count())).mapInArrow(run, schema_sql)  # a task for each file
