@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furrow.llm import chat, decontam, digest, lines, packing, simhash, substring, toxicity, warc
+from furrow.llm import chat, decontam, digest, lines, lm, packing, simhash, substring, toxicity, warc
 from furrow.llm.common import table
 from furrow.session import scratch_path
 
@@ -139,3 +139,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_toxicity")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.7)
+
+
+@query("op8_lm_scoring")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return lm.cross_entropy_difference(table(spark, sf_dir, "documents"), good, vocabulary=1 << 16, bits=21)
