@@ -31,13 +31,9 @@ def pandas_str(c) -> Column:
 
 
 def safe_divide(n, d, eps: float = EPS) -> Column:
-    """B2: ``n / ((d == 0 -> NULL) + eps)``; eps is added to non-zero ``d`` too."""
-    return col_(n) / (F.nullif(col_(d), F.lit(0.0)) + F.lit(eps))
-
-
-def eps_divide(n, d, eps: float = EPS) -> Column:
-    """``n / (d + eps)`` without the zero -> NULL step."""
-    return col_(n) / (col_(d) + F.lit(eps))
+    """B2: ``n / ((d == 0 -> NULL) + eps)``; eps is added to non-zero ``d`` too.
+    NULL where the sum is exactly 0 (NumPy gives an infinity, cleaned to missing later)."""
+    return F.try_divide(col_(n), F.nullif(col_(d), F.lit(0.0)) + F.lit(eps))
 
 
 def nan_to_null(c) -> Column:

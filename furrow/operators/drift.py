@@ -3,9 +3,15 @@
 The per-column tests of the original come from an external library; the
 statistics here are our own choice, following that library's defaults for
 large data: numeric columns use the 1-Wasserstein distance divided by the
-reference standard deviation (drift at >= 0.1) or the two-sample KS statistic
-against its 5 % asymptotic critical value; categorical columns use the
-Jensen-Shannon distance (natural log, drift at >= 0.1); PSI is reported too.
+reference standard deviation (drift at >= 0.1) or, on request, the two-sample
+KS statistic against its 5 % asymptotic critical value; categorical columns use
+the Jensen-Shannon distance (natural log, drift at >= 0.1). The other
+statistics are reported next to it: PSI (numeric columns over ten bins of equal
+share of the reference) and the chi-square of the two rows of counts.
+
+NULL, NaN and infinite values are missing values. Every requested column is in
+the report, with its missing shares; a column with values on one side only has
+drifted, one without any has not.
 
 Both CDFs come from value counts per ``(column, value)`` followed by the
 distributed running sums of :mod:`furrow.operators.ranking`, so a column with
@@ -16,9 +22,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from furrow.functions.nulls import inf_to_null
 from furrow.operators.lookups import join_lookup
 from furrow.operators.ranking import cumulative_sums
 
@@ -26,66 +33,114 @@ KS_C_ALPHA_05 = 1.358  # sqrt(-ln(0.05 / 2) / 2)
 PSI_EPS = 0.0001
 
 
-def _long(ref: DataFrame, cur: DataFrame, cols: list[str], as_double: bool) -> DataFrame:
+def _long(ref: DataFrame, cur: DataFrame, cols: list[str], numeric: bool) -> DataFrame:
+    def value(c: str):
+        return inf_to_null(F.col(c).cast("double")) if numeric else F.col(c).cast("string")
+
     def side(df: DataFrame, is_ref: int) -> DataFrame:
-        vals = [F.struct(F.lit(c).alias("column"),
-                         (F.col(c).cast("double") if as_double else F.col(c).cast("string")).alias("value"))
-                for c in cols]
+        vals = [F.struct(F.lit(c).alias("column"), value(c).alias("value")) for c in cols]
         return df.select(F.explode(F.array(*vals)).alias("s"), F.lit(is_ref).alias("is_ref")).select(
             "s.column", "s.value", "is_ref")
 
-    return side(ref, 1).unionByName(side(cur, 0)).where(F.col("value").isNotNull())
+    return side(ref, 1).unionByName(side(cur, 0))
 
 
 def _counts(long: DataFrame) -> DataFrame:
+    """Rows per (column, value) on both sides; the missing ones under a NULL value."""
     return long.groupBy("column", "value").agg(
         F.sum("is_ref").cast("long").alias("n_ref"), F.sum(1 - F.col("is_ref")).cast("long").alias("n_cur")
     )
 
 
+def _totals(counts: DataFrame, cols: list[str]) -> DataFrame:
+    """Per requested column: rows with a value and shares of rows without, on both sides."""
+    has = F.col("value").isNotNull()
+    seen = counts.groupBy("column").agg(
+        F.sum(F.when(has, F.col("n_ref")).otherwise(0)).alias("tot_ref"),
+        F.sum(F.when(has, F.col("n_cur")).otherwise(0)).alias("tot_cur"),
+        F.sum("n_ref").alias("rows_ref"), F.sum("n_cur").alias("rows_cur"),
+    )
+    asked = counts.sparkSession.createDataFrame([(c,) for c in cols], "column string")
+    full = asked.join(F.broadcast(seen), "column", "left").fillna(0)  # one row a column
+    return full.select(
+        "column", "tot_ref", "tot_cur",
+        F.try_divide(F.col("rows_ref") - F.col("tot_ref"), F.col("rows_ref")).alias("missing_ref"),
+        F.try_divide(F.col("rows_cur") - F.col("tot_cur"), F.col("rows_cur")).alias("missing_cur"),
+    )
+
+
+def _verdict(measured) -> Column:
+    """A column with values on one side only has drifted; without any, it has not."""
+    one = (F.col("n_ref") > 0) != (F.col("n_cur") > 0)
+    return F.when(one, True).otherwise(F.coalesce(measured, F.lit(False)))
+
+
+def _psi(p, q):
+    pe = F.when(p > 0, p).otherwise(PSI_EPS)
+    qe = F.when(q > 0, q).otherwise(PSI_EPS)
+    return (qe - pe) * F.log(qe / pe)
+
+
 def numeric_drift(ref: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame:
-    """Per column: ``n_ref, n_cur, ks_stat, ks_critical, wasserstein, wasserstein_norm, psi=NULL``."""
-    long = _long(ref, cur, cols, as_double=True)
-    counts = _counts(long).withColumn("one", F.lit(1))
-    cum = cumulative_sums(counts, ["column"], ["value"], {"n_ref": "c_ref", "n_cur": "c_cur", "one": "pos"})
-    totals = counts.groupBy("column").agg(F.sum("n_ref").alias("tot_ref"), F.sum("n_cur").alias("tot_cur"))
-    cum = join_lookup(cum, totals, ["column"])
-    nxt = cum.select("column", (F.col("pos") - 1).alias("pos"), F.col("value").alias("next_value"))
-    cum = cum.join(nxt, ["column", "pos"], "left")  # neighbour by position: equi-join, no window
-    diff = F.abs(F.col("c_ref") / F.col("tot_ref") - F.col("c_cur") / F.col("tot_cur"))
-    gap = F.coalesce(F.col("next_value") - F.col("value"), F.lit(0.0))
+    """Per column: ``n_ref, n_cur, missing_ref, missing_cur, ks_stat, ks_critical, wasserstein_norm, psi``."""
+    every = _counts(_long(ref, cur, cols, numeric=True))
+    totals = _totals(every, cols)
+    counts = every.where(F.col("value").isNotNull())
+    cum = cumulative_sums(counts, ["column"], ["value"], {"n_ref": "c_ref", "n_cur": "c_cur"})
+    cum = join_lookup(cum, totals, ["column"], known_small=True)  # one row a column
+    share = lambda c, tot: F.try_divide(F.col(c), F.col(tot))
+    after = F.abs(share("c_ref", "tot_ref") - share("c_cur", "tot_cur"))
+    before = F.abs(F.try_divide(F.col("c_ref") - F.col("n_ref"), F.col("tot_ref"))
+                   - F.try_divide(F.col("c_cur") - F.col("n_cur"), F.col("tot_cur")))
+    # the integral of the gap between the CDFs, summed by parts: no neighbour is needed
     per = cum.groupBy("column").agg(
-        F.first("tot_ref").alias("n_ref"), F.first("tot_cur").alias("n_cur"),
-        F.max(diff).alias("ks_stat"), F.sum(diff * gap).alias("wasserstein"),
+        F.max(after).alias("ks_stat"), F.sum(F.col("value") * (before - after)).alias("wasserstein"),
+        F.try_divide(F.sum(F.col("n_ref") * F.col("value")), F.sum("n_ref")).alias("mean"),
     )
-    sd = long.where(F.col("is_ref") == 1).groupBy("column").agg(F.stddev_pop("value").alias("ref_std"))
-    per = join_lookup(per, sd, ["column"])
-    crit = F.lit(KS_C_ALPHA_05) * F.sqrt((F.col("n_ref") + F.col("n_cur")) / (F.col("n_ref") * F.col("n_cur")))
-    return per.select(
-        "column", "n_ref", "n_cur", "ks_stat", crit.alias("ks_critical"), "wasserstein",
-        F.when(F.col("ref_std") > 0, F.col("wasserstein") / F.col("ref_std")).alias("wasserstein_norm"),
+    # the reference's spread around its mean, in a second sum over the counts
+    spread = join_lookup(counts, per.select("column", "mean"), ["column"], known_small=True).groupBy("column").agg(
+        F.sqrt(F.try_divide(F.sum(F.col("n_ref") * F.pow(F.col("value") - F.col("mean"), 2)), F.sum("n_ref"))).alias("ref_std"))
+    decile = F.least(F.floor(F.try_divide(10 * (F.col("c_ref") - F.col("n_ref")), F.col("tot_ref"))), F.lit(9))
+    bins = cum.groupBy("column", decile.alias("bin"), "tot_ref", "tot_cur").agg(
+        F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
+    psi = bins.groupBy("column").agg(F.sum(_psi(share("n_ref", "tot_ref"), share("n_cur", "tot_cur"))).alias("psi"))
+    out = totals
+    for part in (per.drop("mean"), spread, psi):
+        out = join_lookup(out, part, ["column"], known_small=True)
+    n_ref, n_cur = F.col("tot_ref"), F.col("tot_cur")
+    both = (n_ref > 0) & (n_cur > 0)
+    crit = F.lit(KS_C_ALPHA_05) * F.sqrt(F.try_divide(n_ref + n_cur, n_ref * n_cur))
+    return out.select(
+        "column", n_ref.alias("n_ref"), n_cur.alias("n_cur"), "missing_ref", "missing_cur",
+        F.when(both, F.col("ks_stat")).alias("ks_stat"), crit.alias("ks_critical"),
+        F.when(both & (F.col("ref_std") > 0), F.col("wasserstein") / F.col("ref_std")).alias("wasserstein_norm"),
+        F.when(both, F.col("psi")).alias("psi"),
     )
 
 
 def categorical_drift(ref: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame:
-    """Per column: ``n_ref, n_cur, js_distance, psi``."""
-    counts = _counts(_long(ref, cur, cols, as_double=False))
-    totals = counts.groupBy("column").agg(F.sum("n_ref").alias("tot_ref"), F.sum("n_cur").alias("tot_cur"))
-    c = join_lookup(counts, totals, ["column"])
-    p = F.col("n_ref") / F.col("tot_ref")
-    q = F.col("n_cur") / F.col("tot_cur")
+    """Per column: ``n_ref, n_cur, missing_ref, missing_cur, js_distance, psi, chi_square``."""
+    every = _counts(_long(ref, cur, cols, numeric=False))
+    totals = _totals(every, cols)
+    c = join_lookup(every.where(F.col("value").isNotNull()), totals, ["column"], known_small=True)
+    p = F.try_divide(F.col("n_ref"), F.col("tot_ref"))
+    q = F.try_divide(F.col("n_cur"), F.col("tot_cur"))
     m = (p + q) / 2.0
     kl_p = F.when(p > 0, p * F.log(p / m)).otherwise(0.0)
     kl_q = F.when(q > 0, q * F.log(q / m)).otherwise(0.0)
-    pe = F.when(p > 0, p).otherwise(PSI_EPS)
-    qe = F.when(q > 0, q).otherwise(PSI_EPS)
+    rows = F.col("tot_ref") + F.col("tot_cur")
+    both = F.col("n_ref") + F.col("n_cur")
+    cell = lambda n, tot: F.try_divide(F.pow(F.col(n) - both * F.col(tot) / rows, 2), both * F.col(tot) / rows)
     per = c.groupBy("column").agg(
-        F.first("tot_ref").alias("n_ref"), F.first("tot_cur").alias("n_cur"),
-        F.sum(kl_p).alias("kl_p"), F.sum(kl_q).alias("kl_q"),
-        F.sum((qe - pe) * F.log(qe / pe)).alias("psi"),
+        F.sum(kl_p).alias("kl_p"), F.sum(kl_q).alias("kl_q"), F.sum(_psi(p, q)).alias("psi"),
+        F.sum(cell("n_ref", "tot_ref") + cell("n_cur", "tot_cur")).alias("chi_square"),
     )
+    out = join_lookup(totals, per, ["column"], known_small=True)
+    ok = (F.col("tot_ref") > 0) & (F.col("tot_cur") > 0)
     js = F.sqrt(F.greatest(F.lit(0.0), 0.5 * F.col("kl_p") + 0.5 * F.col("kl_q")))
-    return per.select("column", "n_ref", "n_cur", js.alias("js_distance"), "psi")
+    return out.select("column", F.col("tot_ref").alias("n_ref"), F.col("tot_cur").alias("n_cur"), "missing_ref", "missing_cur",
+                      F.when(ok, js).alias("js_distance"), F.when(ok, F.col("psi")).alias("psi"),
+                      F.when(ok, F.col("chi_square")).alias("chi_square"))
 
 
 def column_drift(
@@ -94,36 +149,38 @@ def column_drift(
     numeric: list[str],
     categorical: list[str],
     threshold: float = 0.1,
-    numeric_method: str = "auto",
+    numeric_method: str = "wasserstein",
 ) -> DataFrame:
-    """One row per column: ``column, kind, method, statistic, threshold,
-    drifted`` (+ the other statistics for inspection).
+    """One row per requested column: ``column, kind, method, statistic,
+    threshold, drifted``, the missing shares and the other statistics.
 
-    ``numeric_method="auto"`` uses Wasserstein when the reference has more than
-    1000 values, KS otherwise.
+    ``numeric_method``: ``wasserstein`` (at ``threshold``) or ``ks`` (at its
+    critical value), whatever the size.
     """
+    if numeric_method not in ("wasserstein", "ks"):
+        raise ValueError("numeric_method is wasserstein or ks")
+    none = F.lit(None).cast("double")
     parts = []
     if numeric:
         nd = numeric_drift(ref, cur, numeric)
-        use_w = (F.col("n_ref") > 1000) if numeric_method == "auto" else F.lit(numeric_method == "wasserstein")
+        if numeric_method == "ks":
+            statistic, limit = F.col("ks_stat"), F.col("ks_critical")
+            measured = statistic > limit
+        else:
+            statistic, limit = F.col("wasserstein_norm"), F.lit(threshold)
+            measured = statistic >= limit
         parts.append(nd.select(
-            "column", F.lit("numeric").alias("kind"),
-            F.when(use_w, "wasserstein").otherwise("ks").alias("method"),
-            F.when(use_w, F.col("wasserstein_norm")).otherwise(F.col("ks_stat")).alias("statistic"),
-            F.when(use_w, F.lit(threshold)).otherwise(F.col("ks_critical")).alias("threshold"),
-            F.when(use_w, F.coalesce(F.col("wasserstein_norm") >= threshold, F.lit(False)))
-            .otherwise(F.col("ks_stat") > F.col("ks_critical")).alias("drifted"),
-            "ks_stat", "wasserstein_norm", F.lit(None).cast("double").alias("js_distance"),
-            F.lit(None).cast("double").alias("psi"),
+            "column", F.lit("numeric").alias("kind"), F.lit(numeric_method).alias("method"), statistic.alias("statistic"),
+            limit.alias("threshold"), _verdict(measured).alias("drifted"), "missing_ref", "missing_cur",
+            "ks_stat", "wasserstein_norm", none.alias("js_distance"), "psi", none.alias("chi_square"),
         ))
     if categorical:
         cd = categorical_drift(ref, cur, categorical)
         parts.append(cd.select(
             "column", F.lit("categorical").alias("kind"), F.lit("jensenshannon").alias("method"),
             F.col("js_distance").alias("statistic"), F.lit(threshold).alias("threshold"),
-            (F.col("js_distance") >= threshold).alias("drifted"),
-            F.lit(None).cast("double").alias("ks_stat"), F.lit(None).cast("double").alias("wasserstein_norm"),
-            "js_distance", "psi",
+            _verdict(F.col("js_distance") >= threshold).alias("drifted"), "missing_ref", "missing_cur",
+            none.alias("ks_stat"), none.alias("wasserstein_norm"), "js_distance", "psi", "chi_square",
         ))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
@@ -135,8 +192,8 @@ def dataset_drift(col_drift: DataFrame, share_threshold: float = 0.5) -> DataFra
         F.sum(F.col("drifted").cast("int")).cast("long").alias("n_drifted"),
     ).select(
         "n_columns", "n_drifted",
-        (F.col("n_drifted") / F.col("n_columns")).alias("share"),
-        (F.col("n_drifted") / F.col("n_columns") >= share_threshold).alias("dataset_drift"),
+        F.try_divide(F.col("n_drifted"), F.col("n_columns")).alias("share"),
+        (F.try_divide(F.col("n_drifted"), F.col("n_columns")) >= share_threshold).alias("dataset_drift"),
     )
 
 
@@ -146,8 +203,8 @@ LOOP_OK, LOOP_FAILED, LOOP_ACT, LOOP_INVESTIGATE = 0, 1, 2, 3
 
 def drift_decision(drift: DataFrame | None, gate: DataFrame | None) -> DataFrame:
     """OK (0) without drift; with drift ACT (2) on PROMOTE, INVESTIGATE (3)
-    on HOLD; FAILED (1) when the drift signal or the gate is missing. The gate
-    is only consulted when there is drift."""
+    on HOLD; FAILED (1) when the drift verdict or, with drift, the gate is
+    missing. The gate is only consulted when there is drift."""
     if drift is None or "dataset_drift" not in drift.columns:
         raise ValueError("drift metric missing: cannot decide (the job failed)")
     if gate is None:
@@ -156,7 +213,8 @@ def drift_decision(drift: DataFrame | None, gate: DataFrame | None) -> DataFrame
         dec = join_lookup(drift.withColumn("__one", F.lit(1)),
                           gate.select(F.lit(1).alias("__one"), "decision"), ["__one"]).drop("__one")
     code = (
-        F.when(~F.col("dataset_drift"), LOOP_OK)
+        F.when(F.col("dataset_drift").isNull(), LOOP_FAILED)
+        .when(~F.col("dataset_drift"), LOOP_OK)
         .when(F.col("decision").isNull(), LOOP_FAILED)
         .when(F.col("decision").startswith("PROMOTE"), LOOP_ACT)
         .otherwise(LOOP_INVESTIGATE)

@@ -181,6 +181,14 @@ ncum AS (SELECT col, v, sum(n_ref) OVER (PARTITION BY col ORDER BY v) AS c_ref,
                 lead(v) OVER (PARTITION BY col ORDER BY v) AS nv FROM ncnt),
 nd AS (SELECT ncum.col, abs(c_ref / tot_ref - c_cur / tot_cur) AS diff, coalesce(nv - v, 0.0) AS gap, tot_ref, tot_cur
        FROM ncum JOIN ntot ON ncum.col = ntot.col),
+nb AS (SELECT ncum.col, least(floor(10 * (c_ref - n_ref) / tot_ref), 9) AS b, sum(n_ref) / any_value(tot_ref) AS p,
+              sum(n_cur) / any_value(tot_cur) AS q
+       FROM (SELECT ncum.*, ncnt.n_ref, ncnt.n_cur FROM ncum JOIN ncnt ON ncum.col = ncnt.col AND ncum.v = ncnt.v) ncum
+       JOIN ntot ON ncum.col = ntot.col GROUP BY 1, 2),
+npsi AS (SELECT col, sum((CASE WHEN q > 0 THEN q ELSE 0.0001 END - CASE WHEN p > 0 THEN p ELSE 0.0001 END)
+              * ln(CASE WHEN q > 0 THEN q ELSE 0.0001 END / CASE WHEN p > 0 THEN p ELSE 0.0001 END)) AS psi FROM nb GROUP BY col),
+nmiss AS (SELECT col, avg(CASE WHEN v IS NULL THEN 1.0 ELSE 0.0 END) FILTER (is_ref = 1) AS mr,
+                 avg(CASE WHEN v IS NULL THEN 1.0 ELSE 0.0 END) FILTER (is_ref = 0) AS mc FROM nl GROUP BY col),
 nsd AS (SELECT col, stddev_pop(v) AS s FROM nl WHERE is_ref = 1 GROUP BY col),
 num AS (SELECT nd.col, any_value(tot_ref) AS n_ref, any_value(tot_cur) AS n_cur, max(diff) AS ks,
                sum(diff * gap) / any_value(nsd.s) AS wn,
@@ -189,29 +197,34 @@ num AS (SELECT nd.col, any_value(tot_ref) AS n_ref, any_value(tot_cur) AS n_cur,
 cl AS ({" UNION ALL ".join(f"SELECT '{x}' AS col, CAST({x} AS VARCHAR) AS v, 1 AS is_ref FROM r UNION ALL SELECT '{x}', CAST({x} AS VARCHAR), 0 FROM c" for x in _DRIFT_CAT)}),
 ccnt AS (SELECT col, v, sum(is_ref) AS n_ref, sum(1 - is_ref) AS n_cur FROM cl WHERE v IS NOT NULL GROUP BY col, v),
 ctot AS (SELECT col, sum(n_ref) AS tot_ref, sum(n_cur) AS tot_cur FROM ccnt GROUP BY col),
-cp AS (SELECT ccnt.col, n_ref / tot_ref AS p, n_cur / tot_cur AS q FROM ccnt JOIN ctot ON ccnt.col = ctot.col),
+cmiss AS (SELECT col, avg(CASE WHEN v IS NULL THEN 1.0 ELSE 0.0 END) FILTER (is_ref = 1) AS mr,
+                 avg(CASE WHEN v IS NULL THEN 1.0 ELSE 0.0 END) FILTER (is_ref = 0) AS mc FROM cl GROUP BY col),
+cp AS (SELECT ccnt.col, n_ref / tot_ref AS p, n_cur / tot_cur AS q, n_ref AS o1, n_cur AS o2,
+              (n_ref + n_cur) * tot_ref / (tot_ref + tot_cur) AS e1, (n_ref + n_cur) * tot_cur / (tot_ref + tot_cur) AS e2
+       FROM ccnt JOIN ctot ON ccnt.col = ctot.col),
 cat AS (SELECT col,
           sqrt(greatest(0.0, 0.5 * sum(CASE WHEN p > 0 THEN p * ln(p / ((p + q) / 2.0)) ELSE 0.0 END)
                            + 0.5 * sum(CASE WHEN q > 0 THEN q * ln(q / ((p + q) / 2.0)) ELSE 0.0 END))) AS js,
           sum((CASE WHEN q > 0 THEN q ELSE 0.0001 END - CASE WHEN p > 0 THEN p ELSE 0.0001 END)
-              * ln(CASE WHEN q > 0 THEN q ELSE 0.0001 END / CASE WHEN p > 0 THEN p ELSE 0.0001 END)) AS psi
+              * ln(CASE WHEN q > 0 THEN q ELSE 0.0001 END / CASE WHEN p > 0 THEN p ELSE 0.0001 END)) AS psi,
+          sum((o1 - e1) * (o1 - e1) / e1 + (o2 - e2) * (o2 - e2) / e2) AS chi
         FROM cp GROUP BY col),
 cd AS (
-  SELECT col AS "column", 'numeric' AS kind, CASE WHEN n_ref > 1000 THEN 'wasserstein' ELSE 'ks' END AS method,
-         CASE WHEN n_ref > 1000 THEN wn ELSE ks END AS statistic,
-         CASE WHEN n_ref > 1000 THEN 0.1 ELSE crit END AS threshold,
-         CASE WHEN n_ref > 1000 THEN coalesce(wn >= 0.1, false) ELSE ks > crit END AS drifted,
-         ks AS ks_stat, wn AS wasserstein_norm, CAST(NULL AS DOUBLE) AS js_distance, CAST(NULL AS DOUBLE) AS psi FROM num
+  SELECT num.col AS "column", 'numeric' AS kind, 'wasserstein' AS method, wn AS statistic, 0.1 AS threshold,
+         coalesce(wn >= 0.1, false) AS drifted, mr AS missing_ref, mc AS missing_cur,
+         ks AS ks_stat, wn AS wasserstein_norm, CAST(NULL AS DOUBLE) AS js_distance, psi, CAST(NULL AS DOUBLE) AS chi_square
+  FROM num JOIN npsi ON num.col = npsi.col JOIN nmiss ON num.col = nmiss.col
   UNION ALL
-  SELECT col, 'categorical', 'jensenshannon', js, 0.1, js >= 0.1, NULL, NULL, js, psi FROM cat)
+  SELECT cat.col, 'categorical', 'jensenshannon', js, 0.1, js >= 0.1, mr, mc, NULL, NULL, js, psi, chi
+  FROM cat JOIN cmiss ON cat.col = cmiss.col)
 """
 
 
 @register(
     "column_drift",
     _DRIFT_SQL + "SELECT \"column\", kind, method, round(statistic, 6) AS statistic, round(threshold, 6) AS threshold, "
-    "drifted, round(ks_stat, 6) AS ks_stat, round(wasserstein_norm, 6) AS wasserstein_norm, "
-    "round(js_distance, 6) AS js_distance, round(psi, 6) AS psi FROM cd",
+    "drifted, round(missing_ref, 6) AS missing_ref, round(missing_cur, 6) AS missing_cur, round(ks_stat, 6) AS ks_stat, round(wasserstein_norm, 6) AS wasserstein_norm, "
+    "round(js_distance, 6) AS js_distance, round(psi, 6) AS psi, round(chi_square, 6) AS chi_square FROM cd",
 )
 def q_column_drift(spark, sf):
     """Per-column drift of lineitem shipped from 1998 against before."""
