@@ -15,10 +15,12 @@ Only one stretch's current sequence is held in memory, beside a batch of texts.
 
 from __future__ import annotations
 
+import json
 import os
-import re
+from array import array
 from collections.abc import Iterator
-from itertools import chain
+from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -26,43 +28,77 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-#: Places where a space is not a single space between two other characters.
-ODD_SPACE = re.compile(f"^ | $|[{SPACE}] | [{SPACE}]")
+#: Characters that the tokenizer takes as space, but for the space itself.
+SPACES = "\t\n\v\f\r\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Fixed value: how the byte-level vocabulary cuts a text before merging.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 BITS = 21
 
 
-class Encoder:
-    """Token ids as little-endian uint32 bytes, with a bounded cache of words.
+def single_spaced(text: str) -> bool:
+    """Whether every space stands alone between two characters that are no space."""
+    if not text or "  " in text or text[0] == " " or text[-1] == " ":
+        return False
+    return not any(c in text and (c + " " in text or " " + c in text) for c in (SPACES[:5] if text.isascii() else SPACES))
 
-    The byte-level vocabulary splits a text before every single space between
-    two other characters, so such a text is the concatenation of its words'
-    ids; any other text goes to the tokenizer whole.
+
+def merge_ranks(path: str) -> dict[bytes, int] | None:
+    """The vocabulary of a byte-level BPE file as ranks; None where ids do not follow the order of the merges."""
+    model = json.loads(Path(path).read_text(encoding="utf-8"))["model"]
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in shown)}
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    ids = [model["vocab"][x + y] for x, y in merges]
+    if ids != sorted(ids) or any(c not in byte for w in model["vocab"] if len(w) == 1 for c in w):
+        return None
+    return {bytes(byte[c] for c in w): i for w, i in model["vocab"].items() if all(c in byte for c in w)}
+
+
+class Encoder(dict):
+    """Token ids as little-endian uint32 bytes; itself a bounded cache of the ids of words after a space.
+
+    The vocabulary cuts a text before every space that stands alone, so a
+    single-spaced text is the concatenation of its words' ids. A word that is
+    not cached is merged by the file's ranks; any other text, and all if the
+    file's ids are no ranks, goes to the tokenizer whole.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 600_000):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.limit, self.cache = limit, {}
+        self.limit = limit
+        self.merge = None
+        if ranks := merge_ranks(path):
+            import tiktoken
+
+            self.merge = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= self.limit:
+            self.clear()
+        found = self[word] = array("I", self.merge(" " + word)).tobytes()
+        return found
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        plain = [None if not t or ODD_SPACE.search(t) else t.split(" ") for t in texts]
-        wanted = set(chain.from_iterable(p[1:] for p in plain if p))
-        if len(self.cache) + len(wanted) > self.limit:
-            self.cache = {}
-        missing = list(wanted - self.cache.keys())
-        self.cache.update(zip(missing, self._encode([" " + w for w in missing]), strict=True))
+        plain = [t.split(" ") if self.merge and single_spaced(t) else None for t in texts]
         whole = iter(self._encode([p[0] if p else t for t, p in zip(texts, plain, strict=True)]))
-        get = self.cache.__getitem__
+        get = self.__getitem__
         return [next(whole) + b"".join(map(get, p[1:])) if p else next(whole) for p in plain]
 
 
+@lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    """One encoder for each Python worker: its tasks share the cached words."""
+    return Encoder(path)
+
+
 def project(texts: list[str]) -> np.ndarray:
     """Three coordinates in [0, 2^21) for every text."""
     out = np.zeros((len(texts), 3), "u8")
@@ -190,7 +226,6 @@ def pack(
     end = np.array([end_id], "<u4").tobytes()
 
     def lay(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = None
         layout = Layout(length, TaskContext.get().partitionId() << 40)
 
         def batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -198,9 +233,8 @@ def pack(
 
         for part in parts:
             ids, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
-            encode = encode or Encoder(tokenizer)
             for run in _runs(texts):
-                rows = [p for i, t in zip(ids[run], encode(texts[run]), strict=True) for p in layout.add(i, t + end)]
+                rows = [p for i, t in zip(ids[run], encoder(tokenizer)(texts[run]), strict=True) for p in layout.add(i, t + end)]
                 if rows:
                     yield batch(rows)
         if rows := list(layout.end()):

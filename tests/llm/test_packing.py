@@ -24,6 +24,7 @@ def test_cached_words_give_the_tokenizers_ids():
     texts = ["", " ", "a", " a", "a ", "a\n", "\na b", "a \nb", "plain words here, and there.\nNext line"]
     texts += ["".join(rng.choice(bits) for _ in range(rng.randint(1, 30))) for _ in range(800)]
     texts += [" ".join(rng.choice(bits[8:]) for _ in range(rng.randint(1, 30))) for _ in range(200)]
+    texts += [" ".join("".join(chr(rng.choice([rng.randint(33, 0x24F), rng.randint(0x370, 0x9FFF), rng.randint(0x1F300, 0x1FAFF)])) for _ in range(rng.randint(1, 8))) for _ in range(40)) for _ in range(150)]
     for limit in (10, 400_000):
         encode = packing.Encoder(PATH, limit)
         got = [np.frombuffer(b, "<u4").tolist() for at in range(0, len(texts), 50) for b in encode(texts[at : at + 50])]
