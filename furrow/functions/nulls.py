@@ -52,20 +52,6 @@ def to_numeric(c) -> Column:
     return F.expr(f"try_cast(`{c}` as double)") if isinstance(c, str) else c.try_cast("double")
 
 
-def is_true(cond: Column) -> Column:
-    """A pandas comparison with NaN is False; make a NULL condition False."""
-    return F.coalesce(cond, F.lit(False))
-
-
-def null_guard(result: Column, *inputs) -> Column:
-    """NULL when any input is NULL (``greatest``/``least`` otherwise skip NULLs)."""
-    cond = None
-    for i in inputs:
-        c = col_(i).isNull()
-        cond = c if cond is None else (cond | c)
-    return F.when(~cond, result) if cond is not None else result
-
-
 def is_numeric_type(dt: T.DataType) -> bool:
     return isinstance(dt, (T.NumericType, T.BooleanType))
 

@@ -40,6 +40,26 @@ def is_small(lookup: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
     return lookup.count() <= max_rows
 
 
+def pack_and_join(df: DataFrame, lookups: list[tuple], extra: list[str] | None = None) -> DataFrame:
+    """Left-join many lookups while the row travels as one struct ``__row``.
+
+    ``lookups``: ``(name, [key columns of df], lookup, [key names of the lookup],
+    value names, small)``; ``small``: its size was checked and it is broadcast.
+    The result has ``__row`` and, for each lookup, a struct ``name`` of its
+    values (NULL without a match). NULL keys match NULL keys. A chain of n joins
+    then copies n + 2 fields a row, not the whole width n times; expand the
+    result with ``select("__row.*", ...)``.
+    """
+    keys = [c.alias(f"__k{i}_{j}") for i, (_, cols, *_) in enumerate(lookups) for j, c in enumerate(cols)]
+    out = df.select(F.struct(*[F.col(c) for c in df.columns]).alias("__row"), *keys)
+    for i, (name, cols, lookup, by, values, small) in enumerate(lookups):
+        side = lookup.select(*[F.col(k).alias(f"__l{i}_{j}") for j, k in enumerate(by)],
+                             F.struct(*[F.col(v) for v in values]).alias(name))
+        cond = [F.col(f"__k{i}_{j}").eqNullSafe(F.col(f"__l{i}_{j}")) for j in range(len(by))]
+        out = out.join(F.broadcast(side) if small else side, reduce(lambda a, b: a & b, cond), "left")
+    return out.select("__row", *[name for name, *_ in lookups])
+
+
 def join_lookup(
     df: DataFrame,
     lookup: DataFrame,

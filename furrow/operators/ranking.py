@@ -13,13 +13,15 @@ hold a third of all rows, so instead:
    window over that small table;
 4. rank = offset of the block + position of the row inside its partition.
 
-Exact quantiles pick the rows at the needed ranks and interpolate linearly
+Exact quantiles count equal values first, then pick the values at the needed ranks and interpolate linearly
 (``lo + (h - floor(h)) * (hi - lo)`` with ``h = (n - 1) q``, the definition
 pandas and DuckDB ``quantile_cont`` use).
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -119,45 +121,31 @@ def exact_group_quantiles(
 ) -> DataFrame:
     """One row per group with exact linear-interpolated quantiles of ``value``.
 
-    NULL values are skipped (as pandas and SQL do); a group with no non-null
-    value gets NULL quantiles.
+    NULL and NaN values are skipped (as pandas and SQL do); a group without any
+    other value has no row.
     """
     names = names or [f"q{p}" for p in probs]
-    # __t (random) only spreads long runs of one value over several range partitions.
-    base = df.select(*by, F.col(value).cast("double").alias("__v")).where(
-        F.col("__v").isNotNull() & ~F.isnan("__v")
-    ).withColumn("__t", F.rand(7))
-    ranked = rank_in_group(base, by, ["__v", "__t"], rank_col="__r")
-    sizes = ranked.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
-    lows, highs = [], []
-    for p in probs:
+    base = df.select(*by, F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull() & ~F.isnan("__v"))
+    # equal values are counted first, so what is sorted is one row for each (group, value)
+    cum = cumulative_sums(base.groupBy(*by, "__v").agg(F.count(F.lit(1)).alias("__w")), by, ["__v"], {"__w": "__c"})
+    sizes = cum.groupBy(*by).agg(F.max("__c").alias("__n"))
+    both = cum.select(*[F.col(k).alias(f"__b_{k}") for k in by], "__v", "__w", "__c")
+    both = both.join(sizes, reduce(lambda a, b: a & b, [F.col(f"__b_{k}").eqNullSafe(F.col(k)) for k in by]))
+
+    def at(rank: Column) -> Column:
+        """The value that holds a 0-based rank: the running count reaches past it, without its own rows not."""
+        return F.max(F.when((F.col("__c") > rank) & (F.col("__c") - F.col("__w") <= rank), F.col("__v")))
+
+    picks = []
+    for i, p in enumerate(probs):
         h = (F.col("__n") - 1).cast("double") * F.lit(float(p))
-        lows.append(F.floor(h) + 1)
-        highs.append(F.ceil(h) + 1)
-    wanted = sizes.select(
-        *by, F.explode(F.array_distinct(F.array(*lows, *highs))).alias("__r")
-    )
-    picked = join_lookup(ranked, wanted, [*by, "__r"], how="inner")
-    picked = picked.groupBy(*by).agg(
-        F.map_from_entries(F.collect_list(F.struct("__r", "__v"))).alias("__m")
-    )
-    full = join_lookup(sizes, picked, by, how="left")
-    outs = []
-    for p, name in zip(probs, names):
+        picks += [at(F.floor(h)).alias(f"__lo{i}"), at(F.ceil(h)).alias(f"__hi{i}")]
+    picked = both.groupBy(*by, "__n").agg(*picks)
+    cols = list(by)
+    for i, (p, name) in enumerate(zip(probs, names)):
         h = (F.col("__n") - 1).cast("double") * F.lit(float(p))
-        lo = F.element_at("__m", (F.floor(h) + 1).cast("long"))
-        hi = F.element_at("__m", (F.ceil(h) + 1).cast("long"))
-        outs.append((lo + (h - F.floor(h)) * (hi - lo)).alias(name))
-    cols = [*by, *outs]
+        lo, hi = F.col(f"__lo{i}"), F.col(f"__hi{i}")
+        cols.append((lo + (h - F.floor(h)) * (hi - lo)).alias(name))
     if count_name:
         cols.append(F.col("__n").alias(count_name))
-    return full.select(*cols)
-
-
-def exact_quantiles(df: DataFrame, value: str, probs: list[float]) -> list[float | None]:
-    """Whole-column exact quantiles returned to the driver (a few scalars)."""
-    one = df.select(F.lit(0).alias("__g"), value)
-    row = exact_group_quantiles(one, ["__g"], value, probs, names=[f"p{i}" for i in range(len(probs))]).first()
-    if row is None:
-        return [None] * len(probs)
-    return [row[f"p{i}"] for i in range(len(probs))]
+    return picked.select(*cols)

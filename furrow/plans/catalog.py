@@ -38,9 +38,11 @@ def round_like_sql(c, digits: int = DIGITS):
     of the double, which differs when ``x * 10^d`` sits on a half."""
     scale = float(10**digits)
     scaled = c * F.lit(scale)
-    back = F.round(scaled) / F.lit(scale)
+    size = F.abs(scaled)
+    # half away from zero in plain arithmetic; from 2^52 on a double is whole
+    near = F.when(size < F.lit(2.0**52), F.signum(c) * F.floor(size + F.lit(0.5)) + F.lit(0.0)).otherwise(scaled)
     # like SQL engines: keep the input when the scaled value overflows
-    return F.when(F.abs(scaled) == F.lit(float("inf")), c).otherwise(back)
+    return F.when(size < F.lit(float("inf")), near / F.lit(scale)).otherwise(c)
 
 
 def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:

@@ -12,6 +12,7 @@ from furrow.functions.scalar import (
     Feature,
     clip_both,
     clip_low,
+    div,
     log1p,
     nan_max,
     nan_min,
@@ -241,7 +242,7 @@ def _case_map(col: str, mapping: dict, default) -> str:
 
 
 def _safe_div(n: str, d: str) -> str:
-    return f"({n}) / (NULLIF({d}, 0) + 1e-6)"
+    return div(n, f"NULLIF({d}, 0) + 1e-6")
 
 
 def ordinal_spec() -> list[Feature]:
@@ -349,10 +350,10 @@ def agronomy_spec() -> list[Feature]:
     """18 agronomy columns (vapour pressure, ET0, crop demand, balances)."""
     kc = _case_map("Crop_Growth_Stage", KC_MAP, KC_DEFAULT)
     return [
-        Feature("_e_s", "0.6108 * exp(17.27 * {T} / ({T} + 237.3))", keep=False),
+        Feature("_e_s", "0.6108 * exp(" + div("17.27 * {T}", "{T} + 237.3") + ")", keep=False),
         Feature("_e_a", "({RH} / 100.0) * {_e_s}", keep=False),
         Feature("vpd", "{_e_s} - {_e_a}"),
-        Feature("vpd_normalized", "{vpd} / ({_e_s} + 1e-6)"),
+        Feature("vpd_normalized", div("{vpd}", "{_e_s} + 1e-6")),
         Feature("_Ra", "{SH} * 0.0820", keep=False),
         Feature("et0", "0.0023 * ({T} + 17.8) * {_Ra}"),
         Feature("et0_monthly", "{et0} * 30"),
@@ -367,7 +368,7 @@ def agronomy_spec() -> list[Feature]:
         Feature("water_balance_sign", "sign({water_balance})"),
         Feature("soil_water_deficit", "25 - {SM}"),
         Feature("soil_water_deficit_pct", "{soil_water_deficit} / 25.0"),
-        Feature("aridity_index", "{R} / ({T} + 10 + 1e-6)"),
+        Feature("aridity_index", div("{R}", "{T} + 10 + 1e-6")),
         Feature("dew_point", "{T} - ((100 - {RH}) / 5.0)"),
         Feature("temp_dew_spread", "{T} - {dew_point}"),
         Feature("wind_evap_factor", "{et0} * (1 + 0.1 * {W})"),
@@ -398,7 +399,7 @@ def expression_library_spec() -> list[Feature]:
     for x, c, s in LIB_SIGMOIDS:
         arg = f"-({{{x}}} - {c!r})" if s == 1 else f"-({{{x}}} - {c!r}) / {s!r}"
         out.append(Feature(f"sigmoid_{x}_{c}", f"1 / (1 + exp({arg}))"))
-    out += [Feature(f"harm_{a}_{b}", f"2 * {{{a}}} * {{{b}}} / ({{{a}}} + {{{b}}} + 1e-6)") for a, b in LIB_HARMONIC]
+    out += [Feature(f"harm_{a}_{b}", div(f"2 * {{{a}}} * {{{b}}}", f"{{{a}}} + {{{b}}} + 1e-6")) for a, b in LIB_HARMONIC]
     out += [Feature(f"geom_{a}_{b}", f"sqrt({clip_low('{' + a + '} * {' + b + '}', 0.0)})") for a, b in LIB_GEOMETRIC]
     for a, b in LIB_MINMAX:
         out.append(Feature(f"min_{a}_{b}", nan_min("{" + a + "}", "{" + b + "}")))

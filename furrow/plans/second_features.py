@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from furrow.functions import bands, crosses
+from furrow.functions.nulls import normalise_numeric
 from furrow.functions.scalar import spec_columns
 from furrow.operators.encoders import fit_count_encoder
 from furrow.operators.impute import column_max, constant_columns
@@ -37,6 +38,7 @@ def _stage(df: DataFrame, maxes: dict) -> DataFrame:
 def run_all_features(train: DataFrame, test: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
     """Returns ``(train, test, dropped_columns)``."""
     tune_wide(train.sparkSession)
+    train, test = normalise_numeric(train), normalise_numeric(test)
     maxes = column_max(train, irr.SECOND_NUM_COLS)
     # written once: later steps (fit, encode, constant check) reuse them, and
     # the lookup joins do not fuse with ~300 expressions into one huge method
@@ -49,6 +51,7 @@ def run_all_features(train: DataFrame, test: DataFrame) -> tuple[DataFrame, Data
         out = enc.transform(df, cats, suffix="__ce")
         return out.select(*[F.col(c).alias(f"ce_{c[:-4]}") if c.endswith("__ce") else F.col(c) for c in out.columns])
 
-    tr, te = encode(tr), encode(te)
+    # the test rows are read twice: for the constant columns and for the result
+    tr, te = encode(tr), write_table(encode(te), "second-test-encoded")
     drop = constant_columns(te)
     return tr.drop(*drop), te.drop(*drop), drop

@@ -36,10 +36,6 @@ def build_session(
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", driver_memory)
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.sql.codegen.maxFields", str(WIDE_CODEGEN_FIELDS))
-        # generated code for wide stages exceeds HotSpot's 8000-byte JIT limit
-        .config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
-        .config("spark.executor.extraJavaOptions", "-XX:-DontCompileHugeMethods")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -47,17 +43,11 @@ def build_session(
     return spark
 
 
-#: Whole-stage codegen is skipped for plans wider than ``spark.sql.codegen.maxFields``
-#: (default 100). The feature builds carry 300-800 columns; measured on the
-#: second feature set at sf0.1, 22 lookup joins took 124 s at 100 and 10 s at 4000.
-WIDE_CODEGEN_FIELDS = 4000
-
-
 def tune_wide(spark: SparkSession) -> None:
-    """Keep whole-stage codegen on for wide frames (set before executing them)."""
-    current = int(spark.conf.get("spark.sql.codegen.maxFields", "100"))
-    if current < WIDE_CODEGEN_FIELDS:
-        spark.conf.set("spark.sql.codegen.maxFields", str(WIDE_CODEGEN_FIELDS))
+    """For plans of hundreds of columns: the optimizer compares every alias with
+    every constraint on each projection below a join, which takes minutes there.
+    Set before such plans run, and left so, as their results are lazy."""
+    spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -107,3 +97,22 @@ def write_table(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+class Stages:
+    """Tables written between the stages of a job, by name; ``drop`` removes those that no later stage reads."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.name, self.paths = spark, name, {}
+
+    def write(self, df: DataFrame, key: str) -> DataFrame:
+        path = scratch_path(self.spark, f"{self.name}-{key}")
+        df.write.mode("overwrite").parquet(path)
+        self.paths[key] = path
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *keys: str) -> None:
+        sc = self.spark.sparkContext
+        for key in keys:
+            path = sc._jvm.org.apache.hadoop.fs.Path(self.paths.pop(key))
+            path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
