@@ -3,7 +3,8 @@
 
 Each query is fully executed into Spark's ``noop`` sink (every row computed,
 nothing collected to the driver); the time includes any fitting the query
-does. ``BENCH_QUERIES`` (comma list) restricts the set.
+does. ``BENCH_QUERIES`` (comma list) restricts the set; without it all catalogue
+queries run but those in ``LONG``. The checks' rounding of results is not timed.
 """
 
 from __future__ import annotations
@@ -15,29 +16,22 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from furrow.plans import catalog  # noqa: E402
 from furrow.plans.registry import all_queries  # noqa: E402
 from furrow.session import build_session  # noqa: E402
 
-HEADLINE = [
-    "group_stats", "group_quantiles", "apply_lookup_unseen", "describe", "histogram_profile",
-    "interaction_exprs", "expression_library", "quantile_band", "round_digits", "positional_digits",
-    "missingness", "count_encode", "frequency_rank", "factorize", "target_encode_oof", "target_encode_full",
-    "stratified_sample", "sample_exact", "impute_median", "dedupe",
-    "ensemble_argmax", "class_metrics", "gate", "column_drift", "dataset_drift",
-    "sliding_rate", "sliding_p95", "sliding_errors", "score_stream", "monitor_stream",
-    "cv_oof_logreg", "cv_oof_trees", "run_all_features",
-]
-# build_features_wide (the 795-column build) is correct but took ~1300-1600 s at
-# sf0.1 locally in round 1; run it explicitly with BENCH_QUERIES=build_features_wide.
+#: Fits models or plans hundreds of columns; run by name with BENCH_QUERIES.
+LONG = {"build_features_wide"}
 
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     wanted = os.environ.get("BENCH_QUERIES")
-    names = [n.strip() for n in wanted.split(",")] if wanted else HEADLINE
     spark = build_session(app="furrow-bench", cpus=cpus)
+    catalog.DIGITS = None  # results as the operators give them
     qs = all_queries()
+    names = [n.strip() for n in wanted.split(",")] if wanted else [n for n in qs if n not in LONG]
     times: dict[str, float] = {}
     errors: dict[str, str] = {}
     for name in names:

@@ -45,8 +45,11 @@ def round_like_sql(c, digits: int = DIGITS):
     return F.when(size < F.lit(float("inf")), near / F.lit(scale)).otherwise(c)
 
 
-def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
-    """Round every double column (both sides of the oracle do the same)."""
+def rounded(df: DataFrame) -> DataFrame:
+    """Round every double column to ``DIGITS`` (both sides of the oracle do the same); not at all if that is None."""
+    digits = DIGITS
+    if digits is None:
+        return df
     return df.select(
         *[
             round_like_sql(F.col(f.name), digits).alias(f.name)
