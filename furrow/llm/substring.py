@@ -7,7 +7,7 @@ words that begins at a cover position in both documents.
 
 1. Anchors: runs of ``width - 12`` words at cover positions only (4 of 13) are
    hashed and sent to buckets by hash; a bucket tells which hashes occur twice.
-2. Extension: windows around such anchors are hashed whole (128 bits) and sent
+2. Extension: windows around such anchors are hashed whole (96 bits) and sent
    to buckets; a bucket finds every window's first occurrence in (doc_id,
    start) order. All later ones are repeats.
 3. Words covered by a repeated window are removed.
@@ -58,7 +58,7 @@ def _spans(values: np.ndarray) -> Iterator[tuple[int, int]]:
 
 
 class _Entries:
-    """Hashed places of a stretch: ``h1, h2`` (64 bits each), document number, position; documents in (k, th) order."""
+    """Hashed places of a stretch: ``h1`` (64 bits), ``h2`` (32 more, of windows), document number, position; documents in (k, th) order."""
 
     def __init__(self, docs: np.ndarray, doc: np.ndarray, pos: np.ndarray, h1: np.ndarray, h2: np.ndarray | None = None):
         self.docs, self.doc, self.pos, self.h1, self.h2 = docs, doc, pos, h1, h2
@@ -91,7 +91,7 @@ class _Entries:
             count = (end - first).astype("<u4")
             head = self.docs[doc[first]].astype("<i8").tobytes()
             rest = count.tobytes() + self.pos[mine].astype("<u4").tobytes()
-            hashes = self.h1[mine].astype("<u8").tobytes() + (b"" if self.h2 is None else self.h2[mine].astype("<u8").tobytes())
+            hashes = self.h1[mine].astype("<u8").tobytes() + (b"" if self.h2 is None else self.h2[mine].astype("<u4").tobytes())
             yield int(bucket[x]), None, None, len(first).to_bytes(4, "little") + squeeze(head + rest), hashes
 
     def places(self, at: np.ndarray) -> Iterator[tuple]:
@@ -115,7 +115,7 @@ def _unpack(rows: list[tuple[bytes, bytes]], wide: bool) -> _Entries:
         m = len(pos[-1])
         h1.append(np.frombuffer(body, "<u8", m))
         if wide:
-            h2.append(np.frombuffer(body, "<u8", m, 8 * m))
+            h2.append(np.frombuffer(body, "<u4", m, 8 * m))
         base += n
     ids, number = np.unique(np.concatenate(docs), axis=0, return_inverse=True)
     doc, pos = number.reshape(-1)[np.concatenate(doc)], np.concatenate(pos)
@@ -164,6 +164,19 @@ def _reduce(wide: bool):
     return run
 
 
+def _squeeze(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows with their text (last column) as compressed UTF-8, for a shuffle."""
+    squeeze = zstandard.ZstdCompressor(level=1).compress
+    for part in parts:
+        z = pa.array([squeeze(t.as_py().encode("utf-8", "surrogatepass")) for t in part.column(part.num_columns - 1)], pa.binary())
+        yield pa.RecordBatch.from_arrays([*part.columns[:-1], z], names=[*part.schema.names[:-1], "z"])
+
+
+def _expand(z: bytes) -> list[bytes]:
+    """The words of a compressed text."""
+    return zstandard.ZstdDecompressor().decompress(z).split()
+
+
 def _stretches(parts: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
     """Documents ``(k, th, hashes of the words, places)`` of about ``STRETCH`` words, in (k, th) order; repeated rows once."""
     held: dict[tuple, tuple] = {}
@@ -173,7 +186,7 @@ def _stretches(parts: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
         for i in range(part.num_rows):
             k, th, text, *at = (c[i].as_py() for c in columns)
             if (k, th) not in held:
-                held[k, th] = (word_hashes(words(text)), *at)
+                held[k, th] = (word_hashes(_expand(text) if isinstance(text, bytes) else words(text)), *at)
                 size += len(held[k, th][0])
             if size >= STRETCH:
                 yield [(*key, *held[key]) for key in sorted(held)]
@@ -199,7 +212,7 @@ def _anchors(docs: list[tuple], run: int) -> _Entries:
 def _windows(docs: list[tuple], width: int) -> _Entries:
     """Windows that hold a repeated anchor."""
     reach = PERIOD - 1
-    h1, h2, doc, pos = [np.empty(0, "u8")], [np.empty(0, "u8")], [np.empty(0, "i8")], [np.empty(0, "i8")]
+    h1, h2, doc, pos = [np.empty(0, "u8")], [np.empty(0, "u4")], [np.empty(0, "i8")], [np.empty(0, "i8")]
     for i, (_, _, hashes, at) in enumerate(docs):
         n = len(hashes) - width + 1
         if n > 0:
@@ -209,7 +222,7 @@ def _windows(docs: list[tuple], width: int) -> _Entries:
             np.add.at(edge, np.clip(anchors + 1, 0, n), -1)
             starts = np.flatnonzero(np.cumsum(edge[:n]) > 0)
             h1.append(window_hashes(hashes, width)[starts])
-            h2.append(window_hashes(hashes, width, seed=7)[starts])
+            h2.append((window_hashes(hashes, width, seed=7)[starts] >> np.uint64(32)).astype("u4"))
             doc.append(np.full(len(starts), i))
             pos.append(starts)
     return _Entries(np.array([d[:2] for d in docs], "i8"), *map(np.concatenate, (doc, pos, h1, h2)))
@@ -235,7 +248,7 @@ def _bucketed(sent: DataFrame, wide: bool) -> DataFrame:
     return sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_reduce(wide), _FOUND_SQL)
 
 
-def repeated_windows(base: DataFrame, width: int, scratch: Scratch, bucket_bytes: int) -> DataFrame:
+def repeated_windows(base: DataFrame, squeezed: DataFrame, width: int, scratch: Scratch, bucket_bytes: int) -> DataFrame:
     """``(k, th, at)``: starts of the windows of each document that an earlier place holds too; several rows a document."""
     if width < PERIOD:
         raise ValueError(f"windows need at least {PERIOD} words")
@@ -244,7 +257,7 @@ def repeated_windows(base: DataFrame, width: int, scratch: Scratch, bucket_bytes
     anchors = _bucketed(base.mapInArrow(_sender(lambda d: _anchors(d, run), False, buckets), _SENT_SQL), False)
     anchors = scratch.write(anchors, "anchors")
     scratch.release()
-    near = base.join(anchors.groupBy("k", "th").agg(F.collect_list("at").alias("at")), ["k", "th"]).select("k", "th", "text", "at")
+    near = squeezed.join(anchors.groupBy("k", "th").agg(F.collect_list("at").alias("at")), ["k", "th"]).select("k", "th", "z", "at")
     found = scratch.write(_bucketed(near.mapInArrow(_sender(lambda d: _windows(d, width), True, buckets), _SENT_SQL), True), "windows")
     scratch.drop("anchors")
     scratch.release()
@@ -269,15 +282,16 @@ def remove_repeats(
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
     base = base.select("doc_id", F.coalesce("doc_id", F.lit(LOWEST)).alias("k"), F.xxhash64("text").alias("th"), "text")
-    found = repeated_windows(base.select("k", "th", "text"), width, scratch, bucket_bytes)
+    squeezed = base.mapInArrow(_squeeze, "doc_id long, k long, th long, z binary")
+    found = repeated_windows(base.select("k", "th", "text"), squeezed, width, scratch, bucket_bytes)
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("text", pa.string())])
 
     def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             out = []
             for i in range(part.num_rows):
-                doc_id, body, at = (part.column(c)[i].as_py() for c in range(3))
-                tokens = words(body)
+                doc_id, z, at = (part.column(c)[i].as_py() for c in range(3))
+                tokens = _expand(z)
                 n = len(tokens)
                 if at:
                     starts = np.concatenate([np.frombuffer(x, "<u4") for x in at]).astype("i8")
@@ -289,5 +303,5 @@ def remove_repeats(
                 out.append((doc_id, n, n - len(tokens), b" ".join(tokens).decode("utf-8", "surrogatepass")))
             yield from batches(out, schema)
 
-    joined = base.join(found.groupBy("k", "th").agg(F.collect_list("at").alias("at")), ["k", "th"], "left")
-    return joined.select("doc_id", "text", "at").mapInArrow(cut, "doc_id long, n_words long, n_removed long, text string")
+    joined = squeezed.join(found.groupBy("k", "th").agg(F.collect_list("at").alias("at")), ["k", "th"], "left")
+    return joined.select("doc_id", "z", "at").mapInArrow(cut, "doc_id long, n_words long, n_removed long, text string")
