@@ -1,8 +1,8 @@
 """Language-model scoring by cross-entropy difference.
 
 Two bigram models, of the target documents and of the whole corpus, share one
-vocabulary (the ``vocabulary`` most frequent words of the corpus; the others
-are one unknown word), one table layout and one smoothing. A document's score
+vocabulary (the most frequent words of the corpus, ``vocabulary`` at most; the
+others are one unknown word), one table layout and one smoothing. A document's score
 is its loss per token under the target model minus that under the background
 model: the lower, the more it is like the target.
 
@@ -80,10 +80,22 @@ def count_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return docs.select(text_col).mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
 
 
-def fit_vocabulary(docs: DataFrame, size: int, text_col: str = "text") -> Vocabulary:
-    """The ``size`` most frequent words; ties by hash."""
-    top = count_words(docs, text_col).orderBy(F.desc("n"), "h").limit(size).select("h").toPandas()  # ``size`` numbers
-    return Vocabulary(np.sort(top["h"].to_numpy("i8").view("u8")))
+def fit_vocabulary(docs: DataFrame, size: int, scratch: Scratch, text_col: str = "text") -> Vocabulary:
+    """The most frequent words, ``size`` at most.
+
+    Words are taken by whole frequency classes (eighths of a doubling), the most
+    frequent first, as long as they fit: the driver reads a count for each class
+    and the chosen words, never more, however many tasks there are.
+    """
+    counts = scratch.write(count_words(docs, text_col).withColumn("class", F.floor(8 * F.log2("n")).cast("int")), "words")
+    room, least = size, None
+    for of, n in sorted(counts.groupBy("class").count().collect(), reverse=True):  # 512 classes at most
+        if n > room:
+            break
+        room, least = room - n, of
+    top = counts.where(F.col("class") >= least).select("h").toPandas()["h"].to_numpy("i8") if least is not None else np.empty(0, "i8")
+    scratch.drop("words")
+    return Vocabulary(np.sort(top.view("u8")))
 
 
 @dataclass
@@ -169,9 +181,10 @@ def cross_entropy_difference(
     spark = docs.sparkSession
     scratch = Scratch(spark, "lm")
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    vocab = fit_vocabulary(base, vocabulary)
+    vocab = fit_vocabulary(base, vocabulary, scratch)
     ids = target_ids.select(F.col("doc_id").cast("long").alias("doc_id")).distinct().withColumn("target", F.lit(True))
-    target, background = fit_counts(base.join(ids, "doc_id", "left").select("text", "target"), vocab, bits)
+    # the targets grow with the corpus: the same join at every size, no broadcast
+    target, background = fit_counts(base.join(ids.hint("merge"), "doc_id", "left").select("text", "target"), vocab, bits)
     scratch.release()
     shared = spark.sparkContext.broadcast((vocab.hashes, *(Counts(*(x.astype("f4" if i == 2 else "f8") for i, x in enumerate((c.before, c.own, c.pair)))) for c in (target, background))))
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("loss_target", pa.float64()), ("loss_background", pa.float64()), ("score", pa.float64())])

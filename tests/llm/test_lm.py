@@ -20,8 +20,12 @@ def corpus(seed=2):
 def brute(rows, target, vocabulary, mixed):
     tokens = [(t or "").lower().split() for _, t, _ in rows]
     count = Counter(w for x in tokens for w in x)
-    order = lambda w: (-count[w], lm.token_hashes(w).view("i8")[0])
-    known = set(sorted(count, key=order)[:vocabulary])
+    known = set()
+    for c in sorted({math.floor(8 * math.log2(n)) for n in count.values()}, reverse=True):
+        more = {w for w, n in count.items() if math.floor(8 * math.log2(n)) == c}
+        if len(known) + len(more) > vocabulary:
+            break
+        known |= more
     seqs = [["<s>", *(w if w in known else "?" for w in x), "</s>"] for x in tokens]
     size = len(known) + 3
     models = []
