@@ -153,12 +153,16 @@ def mine_terms(train: DataFrame, most: int = 4000, precision: float = 0.8, lift:
             yield pa.RecordBatch.from_arrays([pa.array(least, pa.int64()), pa.array(texts, pa.string()), toxic.cast(pa.int32())], schema=schema)
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("term", pa.string()), ("k", pa.int64()), ("m", pa.int64())])
         seen: dict[str, list[int]] = {}
         for part in parts:
-            for text, toxic in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                for term in set().union(*(parts_of(w) for w in set(LETTERS.findall((text or "").lower())))):
+            for text, toxic in zip(part.column(0), part.column(1).to_pylist(), strict=True):
+                for term in set().union(*(parts_of(w) for w in set(LETTERS.findall((text.as_py() or "").lower())))):
                     seen.setdefault(term, [0, 0])[toxic] += 1
-        yield from batches(((t, k, m) for t, (m, k) in seen.items()), pa.schema([("term", pa.string()), ("k", pa.int64()), ("m", pa.int64())]))
+                if len(seen) > 200_000:  # what a task holds is bounded; Spark adds the parts up
+                    yield from batches(((t, k, m) for t, (m, k) in seen.items()), schema)
+                    seen = {}
+        yield from batches(((t, k, m) for t, (m, k) in seen.items()), schema)
 
     once = train.select("text", F.when(F.col("toxic") > 0, 1).otherwise(0).alias("toxic")).mapInArrow(mark, "least long, text string, toxic int")
     once = once.groupBy("least", "toxic").agg(F.first("text").alias("text"))
