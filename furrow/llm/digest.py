@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
@@ -31,8 +32,11 @@ WINDOW, RUN, LEVELS = 64, 64, 1001
 POINTS, FEATURES, BITS, HASHES = 16, 160, 2048, 5
 _SCALE = 1 << 20
 _PLOG = np.array([0] + [round(c * np.log2(c) * _SCALE) for c in range(1, WINDOW + 1)], "i8")
+_MORE = np.diff(_PLOG, prepend=0)
 _MOST = 6 * WINDOW * _SCALE
-_PART = 1 << 20
+#: Bytes that are handled at once; many short texts, or a part of a long one.
+_PART = 1 << 14
+_PLACE = 21
 
 
 def levels(raw: np.ndarray) -> np.ndarray:
@@ -41,36 +45,89 @@ def levels(raw: np.ndarray) -> np.ndarray:
         return np.concatenate([levels(raw[at : at + _PART + WINDOW - 1]) for at in range(0, len(raw) - WINDOW + 1, _PART)])
     n = len(raw)
     order = np.argsort(raw, kind="stable")
-    key = raw[order].astype("i8") * (n + 2 * WINDOW) + order
+    key = raw[order].astype("i4") * np.int32(n + 2 * WINDOW) + order.astype("i4")
     place = np.arange(n)
-    before, after = np.empty(n, "i8"), np.empty(n, "i8")
-    before[order] = place - np.searchsorted(key, key - (WINDOW - 1)) + 1  # equal bytes in the window that ends here
-    after[order] = np.searchsorted(key, key + (WINDOW - 1), side="right") - place  # in the window that begins here
-    out, into = after[: n - WINDOW], before[WINDOW:]
+    before, after = np.empty(n, "i4"), np.empty(n, "i4")
+    first = np.searchsorted(key, key - np.int32(WINDOW - 1))  # the first equal byte in the window that ends here
+    before[order] = place - first + 1
+    # a byte's window reaches the later ones whose own windows reach back to it
+    after[order] = np.cumsum(np.bincount(first, minlength=n)) - place
     total = np.empty(n - WINDOW + 1, "i8")
     total[0] = _PLOG[np.bincount(raw[:WINDOW])].sum()
-    total[1:] = _PLOG[out - 1] - _PLOG[out] + _PLOG[into] - _PLOG[into - 1]
+    total[1:] = _MORE[before[WINDOW:]] - _MORE[after[: n - WINDOW]]
     return (_MOST - np.cumsum(total)) * (LEVELS - 1) // _MOST
 
 
-def features(raw: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """Places of the features of a text of at least ``WINDOW`` bytes, in order."""
-    ranks = rank[levels(raw)].astype("u8")
+def _groups(sizes: list[int]) -> Iterator[slice]:
+    """Neighbours that are handled together, of about ``_PART`` in all."""
+    begin = held = 0
+    for i, n in enumerate(sizes):
+        if held and held + n > _PART:
+            yield slice(begin, i)
+            begin = i
+            held = 0
+        held += n
+    if begin < len(sizes):
+        yield slice(begin, len(sizes))
+
+
+def ranks_of(raws: list[np.ndarray], rank: np.ndarray) -> list[np.ndarray]:
+    """The ranks of all windows of each text; a text of fewer bytes than a window has none."""
+    out = []
+    for group in _groups([len(r) for r in raws]):
+        joined = np.concatenate(raws[group])
+        found = rank[levels(joined)] if len(joined) >= WINDOW else np.empty(0, "u2")
+        at = 0
+        for raw in raws[group]:  # windows that reach into the next text belong to neither
+            out.append(found[at : at + max(0, len(raw) - WINDOW + 1)])
+            at += len(raw)
+    return out
+
+
+def _features(ranks: np.ndarray) -> np.ndarray:
+    """Places of the features of one text, in order."""
     n = len(ranks)
     runs = max(1, n - RUN + 1)
-    points = np.zeros(n, "i4")
-    for at in range(0, runs, _PART):
-        part = ranks[at : at + _PART + RUN - 1] << np.uint64(32) | np.arange(min(_PART + RUN - 1, n - at), dtype="u8")
-        width = min(RUN, len(part))
-        best, have = part, 1
-        while have < width:
-            step = min(have, width - have)
-            best = np.minimum(best[:-step], best[step:])
-            have += step
-        np.add.at(points, at + (best & np.uint64(0xFFFFFFFF)).astype("i8"), 1)
+    points = np.zeros(n, "i8")
+    for at in range(0, runs if n else 0, _PART):
+        part = ranks[at : at + _PART + RUN - 1].astype("u4") << np.uint32(_PLACE) | np.arange(min(_PART + RUN - 1, n - at), dtype="u4")
+        best = _least(part, min(RUN, len(part))) & np.uint32((1 << _PLACE) - 1)
+        points[at : at + len(part)] += np.bincount(best, minlength=len(part))
     return np.flatnonzero(points >= min(POINTS, runs))
 
 
+def _least(values: np.ndarray, width: int) -> np.ndarray:
+    """The smallest of every ``width`` consecutive values."""
+    have = 1
+    while have < width:
+        step = min(have, width - have)
+        values = np.minimum(values[:-step], values[step:])
+        have += step
+    return values
+
+
+def features_of(ranks: list[np.ndarray]) -> list[np.ndarray]:
+    """Places of the features of each text, in order."""
+    out: list[np.ndarray] = [np.empty(0, "i8")] * len(ranks)
+    usual = [i for i, r in enumerate(ranks) if RUN + POINTS <= len(r) <= _PART]
+    for i, r in enumerate(ranks):
+        if len(r) and not RUN + POINTS <= len(r) <= _PART:
+            out[i] = _features(r)
+    for group in _groups([len(ranks[i]) for i in usual]):
+        mine = [ranks[i] for i in usual[group]]
+        sizes = np.array([len(r) for r in mine])
+        ends = np.cumsum(sizes)
+        joined = np.concatenate(mine).astype("u4") << np.uint32(_PLACE) | np.arange(ends[-1], dtype="u4")
+        best = _least(joined, RUN) & np.uint32((1 << _PLACE) - 1)
+        inside = np.ones(ends[-1], bool)  # runs that do not reach into the next text
+        for e in ends.tolist():
+            inside[e - RUN + 1 : e] = False
+        found = np.flatnonzero(np.bincount(best[inside[: len(best)]], minlength=ends[-1]) >= POINTS)
+        for i, begin, places in zip(usual[group], (ends - sizes).tolist(), np.split(found, np.searchsorted(found, ends[:-1])), strict=True):
+            out[i] = places - begin
+    return out
+
+
 class Digest:
     """A chain of Bloom filters: ``filters`` (rows of bytes) and the features in each."""
 
@@ -80,10 +137,15 @@ class Digest:
     @classmethod
     def of(cls, text: str, rank: np.ndarray) -> Digest:
         data = text.encode("utf-8", "surrogatepass")
+        return cls.build(data, features_of(ranks_of([np.frombuffer(data, "u1")], rank))[0])
+
+    @classmethod
+    def build(cls, data: bytes, places: np.ndarray) -> Digest:
+        """The digest of a text whose features are at ``places``; a text shorter than a window is its own feature."""
         if len(data) < WINDOW:
             parts = [data] if data else []
         else:
-            parts = [data[i : i + WINDOW] for i in features(np.frombuffer(data, "u1"), rank).tolist()]
+            parts = [data[i : i + WINDOW] for i in places.tolist()]
         hashes = np.array(list(dict.fromkeys(xxhash.xxh64_intdigest(p) for p in parts)), "u8")
         chain = [hashes[i : i + FEATURES] for i in range(0, len(hashes), FEATURES)]
         filters = np.zeros((len(chain), BITS), bool)
@@ -127,12 +189,11 @@ def fit_ranks(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     schema = pa.schema([("level", pa.int32()), ("n", pa.int64())])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = np.zeros(LEVELS, "i8")
+        count, every = np.zeros(LEVELS, "i8"), np.arange(LEVELS, dtype="u2")
         for part in parts:
-            for text in part.column(0):
-                raw = np.frombuffer((text.as_py() or "").encode("utf-8", "surrogatepass"), "u1")
-                if len(raw) >= WINDOW:
-                    count += np.bincount(levels(raw), minlength=LEVELS)
+            raws = [np.frombuffer((t.as_py() or "").encode("utf-8", "surrogatepass"), "u1") for t in part.column(0)]
+            for found in ranks_of(raws, every):
+                count += np.bincount(found, minlength=LEVELS)
         seen = np.flatnonzero(count)
         yield from batches(zip(seen.tolist(), count[seen].tolist(), strict=True), schema)
 
@@ -161,6 +222,43 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - n] + following[:n]
 
 
+class _Read:
+    """A text with what its edits reuse: its bytes, the ranks of its windows and its digest."""
+
+    def __init__(self, text: str, data: bytes, ranks: np.ndarray, digest: Digest):
+        self.text, self.data, self.ranks, self.digest = text, data, ranks, digest
+
+
+def _read(texts: list[str], rank: np.ndarray) -> list[_Read]:
+    data = [t.encode("utf-8", "surrogatepass") for t in texts]
+    ranks = ranks_of([np.frombuffer(d, "u1") for d in data], rank)
+    return [_Read(t, d, r, Digest.build(d, f)) for t, d, r, f in zip(texts, data, ranks, features_of(ranks), strict=True)]
+
+
+def _compare(pairs: list[tuple], rank: np.ndarray) -> Iterator[tuple]:
+    """The result rows of ``(doc_id, text read, next text read)``.
+
+    An edited text is a beginning of one text and a beginning of the next, so
+    the ranks of its windows are theirs, but for the windows across the seam.
+    """
+    new, seams, cut = [], [], []
+    for _, old, following in pairs:
+        n = len(old.text) // 3
+        kept = old.data if not n else old.text[: len(old.text) - n].encode("utf-8", "surrogatepass")
+        added = following.text[:n].encode("utf-8", "surrogatepass")
+        new.append(kept + added)
+        cut.append((len(kept), len(added)))
+        seams.append(np.frombuffer(kept[max(0, len(kept) - WINDOW + 1) :] + added[: WINDOW - 1], "u1"))
+    ranks = [
+        np.concatenate([old.ranks[: max(0, x - WINDOW + 1)], seam, following.ranks[: max(0, y - WINDOW + 1)]])
+        for (_, old, following), seam, (x, y) in zip(pairs, ranks_of(seams, rank), cut, strict=True)
+    ]
+    for (doc_id, old, following), data, places in zip(pairs, new, features_of(ranks), strict=True):
+        other = Digest.build(data, places)
+        sha = hashlib.sha256(data).hexdigest()
+        yield doc_id, len(old.text), sha, str(old.digest), str(other), likeness(old.digest, other), likeness(old.digest, following.digest)
+
+
 def compare_edited(docs: DataFrame, rank: np.ndarray, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = 16 << 20) -> DataFrame:
     """Fingerprints of all texts and of their edits, and their likeness to the edit and to the next document.
 
@@ -198,16 +296,16 @@ def compare_edited(docs: DataFrame, rank: np.ndarray, id_col: str = "doc_id", te
             last = None
             for part in parts:
                 ranges_, extras, ids = (part.column(i).to_pylist() for i in range(3))
-                for at, extra, doc_id, text in zip(ranges_, extras, ids, part.column(3), strict=True):
-                    text = text.as_py()
-                    now = (at, doc_id, text, Digest.of(text, rank))
-                    if last and last[0] == at:
-                        _, before, old, digest = last
-                        new = edited(old, text)
-                        other = digest if new == old else Digest.of(new, rank)
-                        sha = hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest()
-                        yield before, len(old), sha, str(digest), str(other), likeness(digest, other), likeness(digest, now[3])
-                    last = None if extra else now
+                column = part.column(3)
+                for group in _groups([s.as_py() for s in pc.binary_length(column)]):
+                    texts = column[group].to_pylist()
+                    fresh = _read(texts, rank)
+                    pairs = []
+                    for at, extra, doc_id, now in zip(ranges_[group], extras[group], ids[group], fresh, strict=True):
+                        if last and last[0] == at:
+                            pairs.append((last[1], last[2], now))
+                        last = None if extra else (at, doc_id, now)
+                    yield from _compare(pairs, rank)
 
         yield from batches(rows(), schema, 1024)
 

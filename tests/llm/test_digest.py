@@ -31,12 +31,15 @@ def texts(n=12, seed=1):
 
 def test_levels_and_features(monkeypatch):
     rank = np.random.default_rng(2).permutation(1001).astype("u2")
-    for part in (1 << 20, 100):
+    for part in (1 << 17, 100, 1000):
         monkeypatch.setattr(digest, "_PART", part)
         for t in ["a" * 64, "ab" * 50, *texts(4)]:
             raw = np.frombuffer(t.encode(), "u1")
             assert digest.levels(raw).tolist() == brute_levels(raw)
-            assert digest.features(raw, rank).tolist() == brute_features(raw, rank)
+            assert digest.features_of(digest.ranks_of([raw], rank))[0].tolist() == brute_features(raw, rank)
+        many = [np.frombuffer(t.encode(), "u1") for t in ["", "ab", "a" * 64, "xyz" * 40, "ab" * 70, *texts(6)]]
+        for raw, places in zip(many, digest.features_of(digest.ranks_of(many, rank)), strict=True):
+            assert places.tolist() == (brute_features(raw, rank) if len(raw) >= 64 else [])
 
 
 def test_likeness():
