@@ -61,15 +61,20 @@ class Encoder(dict):
     single-spaced text is the concatenation of its words' ids. A word that is
     not cached is merged by the file's ranks; any other text, and all if the
     file's ids are no ranks, goes to the tokenizer whole.
+
+    ``as_loaded``: the ids are those of the file's tokenizer with its settings, so
+    the content of an added token, as ``<|endoftext|>``, has that token's id.
+    Otherwise special tokens' contents are words like others.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 400_000, as_loaded: bool = False):
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not as_loaded
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if as_loaded or not t.special]
         self.limit = limit
         self.merge = None
         if ranks := merge_ranks(path):
@@ -87,7 +92,7 @@ class Encoder(dict):
         return found
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        plain = [t.split(" ") if self.merge and single_spaced(t) else None for t in texts]
+        plain = [t.split(" ") if self.merge and single_spaced(t) and not any(a in t for a in self.added) else None for t in texts]
         whole = iter(self._encode([p[0] if p else t for t, p in zip(texts, plain, strict=True)]))
         get = self.__getitem__
         return [next(whole) + b"".join(map(get, p[1:])) if p else next(whole) for p in plain]
@@ -96,7 +101,7 @@ class Encoder(dict):
 @lru_cache(maxsize=1)
 def encoder(path: str) -> Encoder:
     """One encoder for each Python worker: its tasks share the cached words."""
-    return Encoder(path)
+    return Encoder(path, as_loaded=True)
 
 
 def project(texts: list[str]) -> np.ndarray:
@@ -207,7 +212,7 @@ def pack(
     """One row for each piece: ``doc_id, start, length, ids, doc_tokens, sequence_id, offset``.
 
     ``ids``: the piece's token ids as little-endian uint32 bytes. A document is
-    its text's ids and ``end_id``; a null or empty text is ``end_id`` alone.
+    its text's ids (those of the file's tokenizer as loaded, without special tokens added) and ``end_id``; a null or empty text is ``end_id`` alone.
     Each row of ``docs`` is a document of its own, also where rows repeat or
     their doc_id is null. Sequences are full, or have the length of a power of
     two. ``sequence_id`` is unique, not gapless. No rows in, no rows out. Other

@@ -79,3 +79,16 @@ def test_neighbours_on_the_curve_are_alike():
 
 def test_pack_of_nothing(spark):
     assert packing.pack(spark.createDataFrame([], "doc_id long, text string"), PATH).collect() == []
+
+
+def test_added_tokens_have_their_ids_as_in_the_tokenizer_as_loaded(spark):
+    from tokenizers import Tokenizer
+
+    loaded = Tokenizer.from_file(PATH)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y z", "<|endoftext|> <|endoftext|>", "<|endoftext |> no", "two  spaces <|endoftext|>", "plain words here"]
+    want = [e.ids for e in loaded.encode_batch(texts, add_special_tokens=False)]
+    assert want[0] == [64, 220, 50256, 275]
+    assert [np.frombuffer(b, "<u4").tolist() for b in packing.Encoder(PATH, as_loaded=True)(texts)] == want
+    pieces = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), PATH, length=4).collect()
+    got = {i: b"".join(p.ids for p in sorted(pieces, key=lambda p: p.start) if p.doc_id == i) for i in range(len(texts))}
+    assert got == {i: np.array([*x, 1], "<u4").tobytes() for i, x in enumerate(want)}
