@@ -4,8 +4,10 @@ Every window of 64 bytes has an entropy level (0 to 1000). How rare a level is
 among all windows of the corpus is its rank (fitted by one pass, a table of
 1001 numbers). In every run of 64 consecutive windows the leftmost window of
 the rarest level gains a point; windows with 16 points or more are the text's
-features. Features go, 160 at a time, into a chain of Bloom filters of 2048
-bits with five bits each. Likeness compares filters by the bits they share,
+features. Where more than 256 windows in a row hold none (repeated words), and
+in a text that has none (a short one), every window with a point is one, so only
+empty texts have empty digests. Features go, 160 at a time, into a chain of
+Bloom filters of 2048 bits with five bits each. Likeness compares filters by the bits they share,
 normalised by what chance alone would share.
 
 Levels are computed in integers, so a window's level depends on its bytes only.
@@ -30,6 +32,8 @@ from furrow.llm.substring import LOWEST, buckets_for
 
 WINDOW, RUN, LEVELS = 64, 64, 1001
 POINTS, FEATURES, BITS, HASHES = 16, 160, 2048, 5
+#: More windows than this in a row without a feature count each that has a point.
+GAP = 4 * RUN
 _SCALE = 1 << 20
 _PLOG = np.array([0] + [round(c * np.log2(c) * _SCALE) for c in range(1, WINDOW + 1)], "i8")
 _MORE = np.diff(_PLOG, prepend=0)
@@ -84,8 +88,8 @@ def ranks_of(raws: list[np.ndarray], rank: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def _features(ranks: np.ndarray) -> np.ndarray:
-    """Places of the features of one text, in order."""
+def _points(ranks: np.ndarray) -> np.ndarray:
+    """The points of the windows of one text."""
     n = len(ranks)
     runs = max(1, n - RUN + 1)
     points = np.zeros(n, "i8")
@@ -93,7 +97,12 @@ def _features(ranks: np.ndarray) -> np.ndarray:
         part = ranks[at : at + _PART + RUN - 1].astype("u4") << np.uint32(_PLACE) | np.arange(min(_PART + RUN - 1, n - at), dtype="u4")
         best = _least(part, min(RUN, len(part))) & np.uint32((1 << _PLACE) - 1)
         points[at : at + len(part)] += np.bincount(best, minlength=len(part))
-    return np.flatnonzero(points >= min(POINTS, runs))
+    return points
+
+
+def _features(ranks: np.ndarray) -> np.ndarray:
+    """Places of the features of one text, in order."""
+    return np.flatnonzero(_points(ranks) >= min(POINTS, max(1, len(ranks) - RUN + 1)))
 
 
 def _least(values: np.ndarray, width: int) -> np.ndarray:
@@ -128,6 +137,24 @@ def features_of(ranks: list[np.ndarray]) -> list[np.ndarray]:
     return out
 
 
+def places_of(ranks: list[np.ndarray]) -> list[np.ndarray]:
+    """Places of the windows that go into the digest of each text, in order.
+
+    Its features; and every window with a point where more than ``GAP`` windows in a
+    row hold no feature, or the whole text has none.
+    """
+    out = features_of(ranks)
+    for i, r in enumerate(ranks):
+        if not len(r) or len(out[i]) and len(r) <= GAP:
+            continue
+        ends = np.concatenate([[-1], out[i], [len(r)]])
+        wide = np.flatnonzero(np.diff(ends) - 1 > (GAP if len(out[i]) else 0))
+        if len(wide):
+            points = _points(r)
+            out[i] = np.union1d(out[i], np.concatenate([ends[k] + 1 + np.flatnonzero(points[ends[k] + 1 : ends[k + 1]]) for k in wide]))
+    return out
+
+
 class Digest:
     """A chain of Bloom filters: ``filters`` (rows of bytes) and the features in each."""
 
@@ -137,15 +164,15 @@ class Digest:
     @classmethod
     def of(cls, text: str, rank: np.ndarray) -> Digest:
         data = text.encode("utf-8", "surrogatepass")
-        return cls.build(data, features_of(ranks_of([np.frombuffer(data, "u1")], rank))[0])
+        return cls.build(data, places_of(ranks_of([np.frombuffer(data, "u1")], rank))[0])
 
     @classmethod
     def build(cls, data: bytes, places: np.ndarray) -> Digest:
-        """The digest of a text whose features are at ``places``; a text shorter than a window is its own feature."""
+        """The digest of a text by its windows at ``places``; a text shorter than a window is its own feature."""
         if len(data) < WINDOW:
             parts = [data] if data else []
         else:
-            parts = [data[i : i + WINDOW] for i in places.tolist()]
+            parts = (data[i : i + WINDOW] for i in places.tolist())
         hashes = np.array(list(dict.fromkeys(xxhash.xxh64_intdigest(p) for p in parts)), "u8")
         chain = [hashes[i : i + FEATURES] for i in range(0, len(hashes), FEATURES)]
         filters = np.zeros((len(chain), BITS), bool)
@@ -232,7 +259,7 @@ class _Read:
 def _read(texts: list[str], rank: np.ndarray) -> list[_Read]:
     data = [t.encode("utf-8", "surrogatepass") for t in texts]
     ranks = ranks_of([np.frombuffer(d, "u1") for d in data], rank)
-    return [_Read(t, d, r, Digest.build(d, f)) for t, d, r, f in zip(texts, data, ranks, features_of(ranks), strict=True)]
+    return [_Read(t, d, r, Digest.build(d, f)) for t, d, r, f in zip(texts, data, ranks, places_of(ranks), strict=True)]
 
 
 def _compare(pairs: list[tuple], rank: np.ndarray) -> Iterator[tuple]:
@@ -253,7 +280,7 @@ def _compare(pairs: list[tuple], rank: np.ndarray) -> Iterator[tuple]:
         np.concatenate([old.ranks[: max(0, x - WINDOW + 1)], seam, following.ranks[: max(0, y - WINDOW + 1)]])
         for (_, old, following), seam, (x, y) in zip(pairs, ranks_of(seams, rank), cut, strict=True)
     ]
-    for (doc_id, old, following), data, places in zip(pairs, new, features_of(ranks), strict=True):
+    for (doc_id, old, following), data, places in zip(pairs, new, places_of(ranks), strict=True):
         other = Digest.build(data, places)
         sha = hashlib.sha256(data).hexdigest()
         yield doc_id, len(old.text), sha, str(old.digest), str(other), likeness(old.digest, other), likeness(old.digest, following.digest)

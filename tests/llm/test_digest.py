@@ -90,3 +90,27 @@ def test_few_rows(spark):
     same = [(5, "abc" * 40), (5, "abc" * 40), (6, "q")]
     assert len(digest.compare_edited(spark.createDataFrame(same, schema), rank).collect()) == 3
     assert digest.fit_ranks(spark.createDataFrame([], schema)).tolist() == list(range(1001))
+
+
+def test_only_empty_texts_have_empty_digests():
+    rank = np.random.default_rng(3).permutation(1001).astype("u2")
+    of = lambda t: digest.Digest.of(t, rank)
+    body, other = (" ".join(texts(3, s)).encode().decode("utf-8") for s in (7, 8))
+    for n in range(1, 300):
+        a, b = body[:n], other[:n]
+        assert sum(of(a).counts) > 0 and digest.likeness(of(a), of(a)) == 1
+        assert n < 10 or digest.likeness(of(a), of(b)) < 1
+    spam, eggs = "spam " * 2000, "eggs " * 2000
+    assert digest.likeness(of(spam), of(spam)) == 1 and digest.likeness(of(spam), of(eggs)) < 0.5
+    assert digest.likeness(of("a" * 5000), of("b" * 5000)) < 0.5 and digest.likeness(of("a" * 5000), of("")) == 0
+    assert digest.likeness(of(spam), of(digest.edited(spam, body * 10))) > 0.5
+
+
+def test_texts_without_features_in_spark(spark):
+    rows = [(1, "spam " * 300), (2, "eggs " * 300), (3, texts(1, 9)[0][:140]), (4, ""), (5, "a" * 1000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    rank = digest.fit_ranks(df)
+    got = {r.doc_id: r for r in digest.compare_edited(df, rank).collect()}
+    assert [bool(got[i].fingerprint) for i in range(1, 6)] == [True, True, True, False, True]
+    assert got[2].near_next < 1 and got[2].near_edited > 0
+    assert sorted(map(tuple, got.values()), key=str) == brute_rows(rows, rank)
