@@ -144,4 +144,4 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_lm_scoring")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
-    return lm.cross_entropy_difference(table(spark, sf_dir, "documents"), good, vocabulary=1 << 16, bits=21)
+    return lm.cross_entropy_difference(table(spark, sf_dir, "documents"), good)

@@ -70,3 +70,17 @@ def test_shared_counters_never_exceed_their_context(spark):
     docs = spark.createDataFrame(corpus(), SCHEMA)
     ids = docs.select("doc_id")
     assert all(abs(r.score) < 1e-9 for r in lm.cross_entropy_difference(docs.where("doc_id IS NOT NULL"), ids, 100, bits=4).collect())
+
+
+def test_every_word_and_pair_is_counted_for_itself(spark, monkeypatch):
+    rng = random.Random(5)
+    rows = corpus() + [(1000 + i, " ".join(f"r{rng.randint(0, 40_000)}" for _ in range(400)), 0) for i in range(200)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    target = list(range(0, 80, 2)) + list(range(1000, 1100))
+    ids = spark.createDataFrame([(i,) for i in target], "doc_id long")
+    want = brute(rows, set(target), 10**9, 0.7)
+    monkeypatch.setattr(lm, "BLOCK", 3000)
+    # 80,000 different pairs: with 2^10 counters these would be shared by many
+    got = sorted(map(tuple, lm.cross_entropy_difference(docs, ids, bits=10, bucket_bytes=10_000).collect()), key=str)
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    assert np.allclose([g[2:] for g in got], [w[2:] for w in want], rtol=1e-9)
