@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furrow.llm import chat, decontam, digest, lines, lm, packing, simhash, substring, toxicity, warc
+from furrow.llm import chat, decontam, digest, langid, lines, lm, packing, simhash, substring, toxicity, warc
 from furrow.llm.common import table
 from furrow.session import scratch_path
 
@@ -145,3 +145,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
     return lm.cross_entropy_difference(table(spark, sf_dir, "documents"), good)
+
+
+@query("op11_language_id")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), size=300)
