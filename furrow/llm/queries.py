@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furrow.llm import chat, decontam, digest, langid, lines, lm, packing, simhash, substring, toxicity, warc
+from furrow.llm import chat, decontam, digest, langid, lines, lm, merkle, packing, simhash, substring, toxicity, warc
 from furrow.llm.common import table
 from furrow.session import scratch_path
 
@@ -150,3 +150,62 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_language_id")
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), size=300)
+
+
+#: CRC-32 of a decimal id, bit by bit; the tree by levels, and each document's path up to the root.
+MERKLE_SQL = """
+    WITH RECURSIVE d AS (
+        SELECT doc_id, source, lang, n_chars, text, CAST(doc_id AS VARCHAR) AS id,
+            xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+                lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))) % 2 = 0 AS struck
+        FROM documents),
+    f AS (
+        SELECT doc_id, source, struck,
+            concat(coalesce(strlen(id) || ':' || id, '-'), coalesce(strlen(source) || ':' || source, '-'), coalesce(strlen(lang) || ':' || lang, '-'),
+                coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || CAST(n_chars AS VARCHAR), '-')) AS head, text, replace(text, chr(10), '') AS bare
+        FROM d),
+    l AS (
+        SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+            CASE WHEN struck THEN sha256(head || coalesce(strlen(bare) || ':' || bare, '-')) END AS shown
+        FROM f),
+    n AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx FROM l),
+    t AS (
+        SELECT 0 AS level, source, idx, leaf AS node, count(*) OVER (PARTITION BY source) AS width FROM n
+        UNION ALL
+        SELECT level + 1, source, idx // 3, sha256(string_agg(node, '' ORDER BY idx)), (any_value(width) + 2) // 3 FROM t WHERE width > 1 GROUP BY level, source, idx // 3),
+    subs AS (SELECT source, level, node AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS idx, count(*) OVER () AS width FROM t WHERE width = 1),
+    u AS (
+        SELECT 0 AS level, idx, subroot AS node, width FROM subs
+        UNION ALL
+        SELECT level + 1, idx // 3, sha256(string_agg(node, '' ORDER BY idx)), (any_value(width) + 2) // 3 FROM u WHERE width > 1 GROUP BY level, idx // 3),
+    top AS (SELECT node AS root FROM u WHERE width = 1),
+    sib AS (
+        SELECT a.level, a.source, a.idx, coalesce(string_agg(b.node, '' ORDER BY b.idx) FILTER (WHERE b.idx < a.idx), '') AS lhs,
+            coalesce(string_agg(b.node, '' ORDER BY b.idx) FILTER (WHERE b.idx > a.idx), '') AS rhs
+        FROM t a JOIN t b ON a.level = b.level AND a.source IS NOT DISTINCT FROM b.source AND a.idx // 3 = b.idx // 3 WHERE a.width > 1 GROUP BY ALL),
+    usib AS (
+        SELECT a.level, a.idx, coalesce(string_agg(b.node, '' ORDER BY b.idx) FILTER (WHERE b.idx < a.idx), '') AS lhs,
+            coalesce(string_agg(b.node, '' ORDER BY b.idx) FILTER (WHERE b.idx > a.idx), '') AS rhs
+        FROM u a JOIN u b ON a.level = b.level AND a.idx // 3 = b.idx // 3 WHERE a.width > 1 GROUP BY ALL),
+    p AS (
+        SELECT n.doc_id, n.leaf, n.source, n.idx AS at, s.subroot,
+            coalesce(string_agg(sib.lhs || sib.rhs, '' ORDER BY sib.level), '') AS own, list({'l': sib.lhs, 'r': sib.rhs} ORDER BY sib.level) FILTER (WHERE sib.level IS NOT NULL) AS steps, n.shown, s.idx AS up
+        FROM n JOIN subs s ON n.source IS NOT DISTINCT FROM s.source
+        LEFT JOIN sib ON n.source IS NOT DISTINCT FROM sib.source AND sib.idx = n.idx // CAST(power(3, sib.level) AS BIGINT)
+        GROUP BY ALL),
+    q AS (
+        SELECT s.source, coalesce(string_agg(usib.lhs || usib.rhs, '' ORDER BY usib.level), '') AS above,
+            list({'l': usib.lhs, 'r': usib.rhs} ORDER BY usib.level) FILTER (WHERE usib.level IS NOT NULL) AS steps
+        FROM subs s LEFT JOIN usib ON usib.idx = s.idx // CAST(power(3, usib.level) AS BIGINT) GROUP BY s.source),
+    z AS (
+        SELECT p.doc_id, p.leaf, p.subroot, sha256(p.own || q.above) AS proof_sha256,
+            list_reduce(list_prepend({'l': coalesce(p.shown, p.leaf), 'r': ''}, list_concat(coalesce(p.steps, []), coalesce(q.steps, []))),
+                lambda a, b: {'l': sha256(b.l || a.l || b.r), 'r': ''}).l AS folded_root
+        FROM p JOIN q ON p.source IS NOT DISTINCT FROM q.source)
+    SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM z, top
+"""
+
+
+@query("op13_merkle_manifest", MERKLE_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.document_manifest(table(spark, sf_dir, "documents"))
