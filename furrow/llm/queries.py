@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furrow.llm import chat, decontam, digest, langid, lines, lm, merkle, packing, simhash, substring, toxicity, warc
+from furrow.llm import align, chat, decontam, digest, langid, lines, lm, merkle, packing, simhash, substring, toxicity, warc
 from furrow.llm.common import table
 from furrow.session import scratch_path
 
@@ -209,3 +209,11 @@ MERKLE_SQL = """
 @query("op13_merkle_manifest", MERKLE_SQL)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.document_manifest(table(spark, sf_dir, "documents"))
+
+
+@query("op12_tokenizer_alignment")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents")
+    return align.align_tokenizers(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
