@@ -18,8 +18,8 @@ def _events_stream(spark, sf):
 @register(
     "score_stream",
     """WITH lk AS (SELECT event_type, avg(value) AS mean, stddev_samp(value) AS std FROM events GROUP BY event_type)
-SELECT e.event_id, e.event_type, round((e.value - lk.mean) / lk.std, 6) AS z,
-       CASE WHEN (e.value - lk.mean) / lk.std > 1.0 THEN 'High' WHEN (e.value - lk.mean) / lk.std < -1.0 THEN 'Low'
+SELECT e.event_id, e.event_type, round((e.value - lk.mean) / nullif(lk.std, 0), 6) AS z,
+       CASE WHEN (e.value - lk.mean) / nullif(lk.std, 0) > 1.0 THEN 'High' WHEN (e.value - lk.mean) / nullif(lk.std, 0) < -1.0 THEN 'Low'
             ELSE 'Medium' END AS predicted_class
 FROM events e LEFT JOIN lk ON e.event_type = lk.event_type""",
 )
