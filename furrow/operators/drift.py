@@ -83,7 +83,10 @@ def _psi(p, q):
 
 def numeric_drift(ref: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame:
     """Per column: ``n_ref, n_cur, missing_ref, missing_cur, ks_stat, ks_critical, wasserstein_norm, psi``."""
-    every = _counts(_long(ref, cur, cols, numeric=True))
+    return _numeric(_counts(_long(ref, cur, cols, numeric=True)), cols)
+
+
+def _numeric(every: DataFrame, cols: list[str]) -> DataFrame:
     totals = _totals(every, cols)
     counts = every.where(F.col("value").isNotNull())
     cum = cumulative_sums(counts, ["column"], ["value"], {"n_ref": "c_ref", "n_cur": "c_cur"})
@@ -120,7 +123,10 @@ def numeric_drift(ref: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame:
 
 def categorical_drift(ref: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame:
     """Per column: ``n_ref, n_cur, missing_ref, missing_cur, js_distance, psi, chi_square``."""
-    every = _counts(_long(ref, cur, cols, numeric=False))
+    return _categorical(_counts(_long(ref, cur, cols, numeric=False)), cols)
+
+
+def _categorical(every: DataFrame, cols: list[str]) -> DataFrame:
     totals = _totals(every, cols)
     c = join_lookup(every.where(F.col("value").isNotNull()), totals, ["column"], known_small=True)
     p = F.try_divide(F.col("n_ref"), F.col("tot_ref"))
@@ -159,10 +165,14 @@ def column_drift(
     """
     if numeric_method not in ("wasserstein", "ks"):
         raise ValueError("numeric_method is wasserstein or ks")
+    return _report(numeric_drift(ref, cur, numeric) if numeric else None,
+                   categorical_drift(ref, cur, categorical) if categorical else None, threshold, numeric_method)
+
+
+def _report(nd: DataFrame | None, cd: DataFrame | None, threshold: float, numeric_method: str) -> DataFrame:
     none = F.lit(None).cast("double")
     parts = []
-    if numeric:
-        nd = numeric_drift(ref, cur, numeric)
+    if nd is not None:
         if numeric_method == "ks":
             statistic, limit = F.col("ks_stat"), F.col("ks_critical")
             measured = statistic > limit
@@ -174,8 +184,7 @@ def column_drift(
             limit.alias("threshold"), _verdict(measured).alias("drifted"), "missing_ref", "missing_cur",
             "ks_stat", "wasserstein_norm", none.alias("js_distance"), "psi", none.alias("chi_square"),
         ))
-    if categorical:
-        cd = categorical_drift(ref, cur, categorical)
+    if cd is not None:
         parts.append(cd.select(
             "column", F.lit("categorical").alias("kind"), F.lit("jensenshannon").alias("method"),
             F.col("js_distance").alias("statistic"), F.lit(threshold).alias("threshold"),
@@ -185,6 +194,45 @@ def column_drift(
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def value_counts(df: DataFrame, numeric: list[str], categorical: list[str], by: list[Column]) -> DataFrame:
+    """Rows ``*by, kind, column, number, text, n``: how often each column has each value, missing ones under NULL.
+    ``number`` holds those of numeric columns, ``text`` those of the others."""
+    cells = [F.struct(F.lit("numeric").alias("kind"), F.lit(c).alias("column"), inf_to_null(F.col(c).cast("double")).alias("number"),
+                      F.lit(None).cast("string").alias("text")) for c in numeric]
+    cells += [F.struct(F.lit("categorical").alias("kind"), F.lit(c).alias("column"), F.lit(None).cast("double").alias("number"),
+                       F.col(c).cast("string").alias("text")) for c in categorical]
+    long = df.withColumn("__s", F.explode(F.array(*cells)))
+    return long.groupBy(*by, F.col("__s.kind").alias("kind"), F.col("__s.column").alias("column"), F.col("__s.number").alias("number"),
+                        F.col("__s.text").alias("text")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def drift_of_counts(ref: DataFrame, cur: DataFrame, numeric: list[str], categorical: list[str], windows: list[int],
+                    threshold: float = 0.1, numeric_method: str = "wasserstein") -> DataFrame:
+    """J1 of several windows at once, from counts: ``window_start``, then the columns of :func:`column_drift`.
+
+    ``ref``: :func:`value_counts` of the reference; ``cur``: those of the windows, with ``window_start``, which
+    are listed in ``windows``. The reference's counts are repeated for each of them.
+    """
+    at = F.col("window_start").cast("string")
+    starts = F.array(*[F.lit(w).cast("long") for w in windows]).cast("array<long>")
+    both = ref.withColumn("window_start", F.explode(starts)).select("window_start", "kind", "column", "number", "text", F.col("n").alias("n_ref"), F.lit(0).alias("n_cur")).unionByName(
+        cur.select("window_start", "kind", "column", "number", "text", F.lit(0).alias("n_ref"), F.col("n").alias("n_cur")))
+
+    def side(kind: str, value: str, cols: list[str]):
+        if not cols:
+            return None
+        # each window's column is a column of its own: its start, a bar, its name
+        every = both.where(F.col("kind") == kind).groupBy(F.concat(at, F.lit("|"), "column").alias("column"), F.col(value).alias("value")).agg(
+            F.sum("n_ref").cast("long").alias("n_ref"), F.sum("n_cur").cast("long").alias("n_cur"))
+        names = [f"{w}|{c}" for w in windows for c in cols]
+        return (_numeric if kind == "numeric" else _categorical)(every, names)
+
+    report = _report(side("numeric", "number", numeric), side("categorical", "text", categorical), threshold, numeric_method)
+    start = F.substring_index("column", "|", 1).cast("long")
+    name = F.expr("substring(`column`, instr(`column`, '|') + 1)")
+    return report.select(start.alias("window_start"), name.alias("column"), *[c for c in report.columns if c != "column"])
+
+
 def dataset_drift(col_drift: DataFrame, share_threshold: float = 0.5) -> DataFrame:
     """Drifted column count, share, and the verdict ``share >= threshold``."""
     return col_drift.agg(

@@ -118,16 +118,18 @@ def exact_group_quantiles(
     probs: list[float],
     names: list[str] | None = None,
     count_name: str | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """One row per group with exact linear-interpolated quantiles of ``value``.
 
     NULL and NaN values are skipped (as pandas and SQL do); a group without any
-    other value has no row.
+    other value has no row. ``weight``: how many rows a row stands for (a whole number).
     """
     names = names or [f"q{p}" for p in probs]
-    base = df.select(*by, F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull() & ~F.isnan("__v"))
+    times = F.lit(1) if weight is None else F.col(weight)
+    base = df.select(*by, F.col(value).cast("double").alias("__v"), times.cast("long").alias("__t")).where(F.col("__v").isNotNull() & ~F.isnan("__v"))
     # equal values are counted first, so what is sorted is one row for each (group, value)
-    cum = cumulative_sums(base.groupBy(*by, "__v").agg(F.count(F.lit(1)).alias("__w")), by, ["__v"], {"__w": "__c"})
+    cum = cumulative_sums(base.groupBy(*by, "__v").agg(F.sum("__t").alias("__w")), by, ["__v"], {"__w": "__c"})
     sizes = cum.groupBy(*by).agg(F.max("__c").alias("__n"))
     both = cum.select(*[F.col(k).alias(f"__b_{k}") for k in by], "__v", "__w", "__c")
     both = both.join(sizes, reduce(lambda a, b: a & b, [F.col(f"__b_{k}").eqNullSafe(F.col(k)) for k in by]))

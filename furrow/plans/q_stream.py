@@ -5,8 +5,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from furrow.plans.catalog import register, rounded, t
-from furrow.streaming.jobs import drift_stream, file_stream, monitor_to_table, run_to_table, score_stream
+from furrow.operators.monitor import error_rate_of, quantile_of, rate_of
+from furrow.plans import q_eval  # noqa: F401  the batch forms' SQL
+from furrow.plans.catalog import ORACLE, register, rounded, t
+from furrow.streaming.jobs import buckets_to_table, drift_stream, drift_windows, file_stream, monitor_buckets, monitor_to_table, run_to_table, score_stream
 
 
 def _events_stream(spark, sf):
@@ -53,3 +55,42 @@ def q_drift_stream(spark, sf):
     ref = t(spark, sf, "events").where(F.col("ts") < cut)
     later = _events_stream(spark, sf).where(F.col("ts") >= cut)
     return rounded(drift_stream(later, ref, ["value"], ["event_type"]))
+
+
+def _live(spark, sf, slide_s: int):
+    """The state of the monitored stream: counts by slide bucket, event type and value."""
+    counts = monitor_buckets(_events_stream(spark, sf), "ts", slide_s, "10 minutes", F.col("event_type"), F.col("value"), F.col("event_type") == "error")
+    return buckets_to_table(counts)[0]
+
+
+@register("stream_pred_counts", ORACLE["pred_counts"])
+def q_stream_pred_counts(spark, sf):
+    """K2 + J4: running count per class, from the stream's state."""
+    return _live(spark, sf, 60).groupBy(F.col("kind").alias("event_type")).agg(F.sum("events").alias("count"))
+
+
+@register("stream_sliding_rate", ORACLE["sliding_rate"])
+def q_stream_sliding_rate(spark, sf):
+    """K2 + J5: events per second over 1-minute windows sliding by 5 s, from the stream's state."""
+    return rounded(rate_of(_live(spark, sf, 5), 60, 5))
+
+
+@register("stream_sliding_p95", ORACLE["sliding_p95"])
+def q_stream_sliding_p95(spark, sf):
+    """K2 + J6: exact p95 over 5-minute windows sliding by 1 minute, from the stream's state."""
+    return rounded(quantile_of(_live(spark, sf, 60), 0.95, 300, 60))
+
+
+@register("stream_sliding_errors", ORACLE["sliding_errors"])
+def q_stream_sliding_errors(spark, sf):
+    """K2 + J7: error share over 5-minute windows sliding by 1 minute, from the stream's state."""
+    return rounded(error_rate_of(_live(spark, sf, 60), 300, 60))
+
+
+@register("drift_windows")
+def q_drift_windows(spark, sf):
+    """K3: drift of every closed day of the stream against the first week."""
+    cut = F.lit("2024-01-08 00:00:00").cast("timestamp_ntz")
+    ref = t(spark, sf, "events").where(F.col("ts") < cut)
+    later = _events_stream(spark, sf).where(F.col("ts") >= cut)
+    return rounded(drift_windows(later, ref, ["value"], ["event_type"], "ts", "1 day", "10 minutes")[0])
