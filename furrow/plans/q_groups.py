@@ -6,11 +6,15 @@ from pyspark.sql import functions as F
 
 from furrow.operators.groups import (
     correlation_long,
+    density_curve,
     describe_table,
     distribution_profile,
     group_quantiles,
     group_stats,
     histogram,
+    merge_sketches,
+    quantile_sketches,
+    sketch_quantiles,
     value_share,
 )
 from furrow.operators.impute import fill_from_values, medians
@@ -197,3 +201,29 @@ def q_histogram(spark, sf):
     """20 equal-width buckets of order price per status."""
     h = histogram(t(spark, sf, "orders"), "o_totalprice", ["o_orderstatus"], 0.0, 500000.0, 20)
     return h.withColumn("bucket", F.col("bucket").cast("long"))
+
+
+DENSITY_SQL = """WITH b AS (SELECT l_returnflag, CAST(l_quantity AS DOUBLE) AS v FROM lineitem WHERE l_quantity IS NOT NULL),
+s0 AS (SELECT l_returnflag, count(v) AS n, stddev_samp(v) * power(CAST(count(v) AS DOUBLE), -0.2) AS bw, min(v) AS least, max(v) AS most FROM b GROUP BY 1),
+s AS (SELECT l_returnflag, n, bw, least - 3 * bw AS lo, most + 3 * bw AS hi, ((most + 3 * bw) - (least - 3 * bw)) / 2048 AS step FROM s0 WHERE least < most),
+p AS (SELECT b.l_returnflag, (v - lo) / step AS p FROM b JOIN s USING (l_returnflag)),
+e AS (SELECT l_returnflag, edge, sum(w) AS w FROM (
+    SELECT l_returnflag, floor(p) AS edge, 1 - (p - floor(p)) AS w FROM p UNION ALL SELECT l_returnflag, floor(p) + 1, p - floor(p) FROM p) GROUP BY 1, 2)
+SELECT l_returnflag, CAST(j AS INTEGER) AS point, round(lo + j * ((hi - lo) / 199), 6) AS x,
+    round(sum(w * exp(-0.5 * power((j * ((hi - lo) / 199) - edge * step) / bw, 2))) / (any_value(n) * any_value(bw) * sqrt(2 * pi())), 6) AS density
+FROM s JOIN e USING (l_returnflag), range(0, 200) g(j) GROUP BY l_returnflag, j, lo, hi"""
+
+
+@register("density_curve", DENSITY_SQL)
+def q_density_curve(spark, sf):
+    """density of the quantity of each return flag on 200 points."""
+    return rounded(density_curve(t(spark, sf, "lineitem"), "l_quantity", ["l_returnflag"]))
+
+
+@register("group_quantiles_sketch")
+def q_group_quantiles_sketch(spark, sf):
+    """F2, fast mode: p10..p90 of extended price per line status, from sketches of each status and year that are merged."""
+    li = t(spark, sf, "lineitem").withColumn("year", F.year("l_shipdate"))
+    parts = quantile_sketches(li, ["l_linestatus", "year"], "l_extendedprice")
+    whole = merge_sketches(parts, ["l_linestatus"])
+    return sketch_quantiles(whole, ["l_linestatus"], [p / 100 for p in _PCTS], [f"q{p}" for p in _PCTS])

@@ -13,6 +13,7 @@ _MODULES = [
     "furrow.plans.q_eval",
     "furrow.plans.q_models",
     "furrow.plans.q_stream",
+    "furrow.plans.q_sources",
 ]
 
 
