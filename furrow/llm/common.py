@@ -21,20 +21,30 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Scratch:
     """Intermediate Parquet tables in the shared checkpoint folder.
 
     A written table cuts the lineage (a lost executor re-reads it instead of
     recomputing what led to it). ``drop`` removes a table that no later step
     reads; the tables that the returned DataFrame reads stay, as it is lazy.
+    ``tidy``: the shuffle files of a table go as soon as it is written, instead of
+    when the driver next collects its garbage.
     """
 
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark, self.name, self.paths = spark, name, {}
+    def __init__(self, spark: SparkSession, name: str, tidy: bool = False):
+        self.spark, self.name, self.paths, self.tidy = spark, name, {}, tidy
 
     def write(self, df: DataFrame, key: str) -> DataFrame:
         path = scratch_path(self.spark, f"{self.name}-{key}")
-        df.write.mode("overwrite").parquet(path)
+        before = self.spark.conf.get(SHUFFLE_CLEANUP)
+        self.spark.conf.set(SHUFFLE_CLEANUP, "true" if self.tidy else before)
+        try:
+            df.write.mode("overwrite").parquet(path)
+        finally:
+            self.spark.conf.set(SHUFFLE_CLEANUP, before)
         self.paths[key] = path
         return self.spark.read.schema(df.schema).parquet(path)
 

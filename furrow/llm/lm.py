@@ -13,9 +13,11 @@ corpus. N-grams are told apart by 64-bit hashes (of 2 billion different ones,
 1. Texts are read once, in blocks of about ``BLOCK`` tokens. A block sends its
    different n-grams, each with its two counts, to buckets of the hash. A frequent
    n-gram is one entry a block, however often it occurs, so no bucket is hot.
-2. A bucket adds the counts up and answers every block with the totals of the
-   n-grams it sent, in the same order.
-3. A block scores its documents from its tokens and the answers.
+2. A bucket adds the counts up and answers every block with what the others have of
+   the n-grams it sent, in the same order: nothing, for one that no other block has.
+3. A block scores its documents from its tokens, its own counts and the answers.
+
+Each step ends in a table, and the one before it and its shuffle files are removed then.
 """
 
 from __future__ import annotations
@@ -158,11 +160,18 @@ def _read(words: bytes, tokens: bytes, lengths: bytes) -> tuple[np.ndarray, np.n
 
 
 def mark(blocks: DataFrame, ids: DataFrame) -> DataFrame:
-    """``block, words, tokens, lengths, target``: with the places of the texts whose doc_id is one of ``ids(doc_id)``, or null."""
+    """``block, ids, words, tokens, lengths, target``: with the places of the texts whose doc_id is one of ``ids(doc_id)``, or null."""
     found = blocks.select("block", F.posexplode("ids").alias("place", "doc_id")).join(ids.hint("merge"), "doc_id")
     # the targets grow with the corpus: the same join at every size, no broadcast
     target = found.groupBy("block").agg(F.collect_list("place").alias("target"))
-    return blocks.select("block", "words", "tokens", "lengths").join(target.hint("merge"), "block", "left")
+    return blocks.join(target.hint("merge"), "block", "left")
+
+
+def own_counts(target: list[int] | None, own: np.ndarray, lengths: np.ndarray, word_at: np.ndarray, pair_at: np.ndarray, n: int) -> list[np.ndarray]:
+    """How often a block has each of its ``n`` keys, in all its texts and in those at the places ``target``."""
+    inside = np.zeros(len(lengths), bool)
+    inside[target or []] = True
+    return [np.bincount(np.concatenate([word_at[own[w]], pair_at[w]]), minlength=n).astype("u4") for w in (slice(None), np.repeat(inside, lengths))]
 
 
 def count_blocks(marked: DataFrame, buckets: int) -> DataFrame:
@@ -171,9 +180,7 @@ def count_blocks(marked: DataFrame, buckets: int) -> DataFrame:
 
     def send(number: int, target: list[int] | None, different: np.ndarray, own: np.ndarray, lengths: np.ndarray) -> Iterator[tuple]:
         _, keys, word_at, pair_at = ngrams(different, own, lengths)
-        inside = np.zeros(len(lengths), bool)
-        inside[target or []] = True
-        counts = [np.bincount(np.concatenate([word_at[own[w]], pair_at[w]]), minlength=len(keys)).astype("u4") for w in (slice(None), np.repeat(inside, lengths))]
+        counts = own_counts(target, own, lengths, word_at, pair_at, len(keys))
         edges = np.searchsorted((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32), np.arange(buckets + 1, dtype="u8"))
         for k, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)):
             if a < b:
@@ -204,7 +211,7 @@ def _by(key: str, parts: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
 def add_up(sent: DataFrame) -> DataFrame:
     """``block, bucket, x, y, words, background, target``: each bucket's answers to the blocks, from rows of ``count_blocks``.
 
-    ``x, y``: totals in all texts and in the target of the keys that the block
+    ``x, y``: totals of the other blocks, in all texts and in the target, of the keys that the block
     sent. A bucket's row without a block has its number of different words and
     the tokens of both models that these are.
     """
@@ -215,15 +222,15 @@ def add_up(sent: DataFrame) -> DataFrame:
             keys = [np.cumsum(expand(r["x"], "u8")) for r in rows]
             ends = np.cumsum([len(k) for k in keys])[:-1]
             found, at = np.unique(np.concatenate(keys), return_inverse=True)
-            totals = []
+            totals, others = [], []
             for column in "yz":
-                total = np.zeros(len(found), "u8")
-                np.add.at(total, at, np.concatenate([expand(r[column], "u4") for r in rows]).astype("u8"))
+                total, sent = np.zeros(len(found), "u8"), np.concatenate([expand(r[column], "u4") for r in rows]).astype("u8")
+                np.add.at(total, at, sent)
                 totals.append(total)
+                others.append(np.split(total[at] - sent, ends))
             of_words = (found & np.uint64(1)).astype(bool)
             out = [(None, rows[0]["bucket"], None, None, int(of_words.sum()), *(int(t[of_words].sum()) for t in totals))]
-            answers = [np.split(t[at], ends) for t in totals]
-            out += [(r["block"], r["bucket"], squeeze(a), squeeze(b), None, None, None) for r, a, b in zip(rows, *answers, strict=True)]
+            out += [(r["block"], r["bucket"], squeeze(a), squeeze(b), None, None, None) for r, a, b in zip(rows, *others, strict=True)]
             yield from batches(out, schema, 64)
 
     placed = sent.repartition("bucket").sortWithinPartitions("bucket", "block")
@@ -252,13 +259,13 @@ def cross_entropy_difference(
     the others are then one unknown word. ``bits`` has no effect: it was the size of
     shared counters, and pairs are now counted each for itself.
     """
-    scratch = Scratch(docs.sparkSession, "lm")
+    scratch = Scratch(docs.sparkSession, "lm", tidy=True)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     vocab = None if vocabulary is None else fit_vocabulary(base, vocabulary, scratch)
     ids = target_ids.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    blocks = scratch.write(cut_blocks(base, vocab), "blocks")
-    totals = scratch.write(add_up(count_blocks(mark(blocks, ids), buckets_for(base, bucket_bytes, least=64))), "totals")
-    scratch.release()
+    blocks = scratch.write(mark(scratch.write(cut_blocks(base, vocab), "cut"), ids), "blocks")
+    scratch.drop("cut")
+    totals = scratch.write(add_up(count_blocks(blocks, buckets_for(base, bucket_bytes, least=64))), "totals")
     stats = totals.where("block IS NULL").agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("words", "target", "background"))).first()
     # all words but the end; then unknown, begin and end
     size = (stats[0] - 1 if vocab is None else len(vocab)) + 3
@@ -271,15 +278,17 @@ def cross_entropy_difference(
             before, keys, word_at, pair_at = ngrams(different, own, lengths)
             starts = np.cumsum(lengths) - lengths
             losses = []
-            for column, of in zip("yx", tokens, strict=True):
+            all_texts, in_target = own_counts(block["target"], own, lengths, word_at, pair_at, len(keys))
+            for column, mine, of in zip("yx", (in_target, all_texts), tokens, strict=True):
                 count = np.concatenate([expand(r[column], "u8") for r in answers])
                 assert len(count) == len(keys)
+                count += mine
                 single = count[word_at]
                 losses.append(-np.add.reduceat(log_probability(single[own], single[before], count[pair_at], of, size, mixed), starts) / lengths)
             a, b = losses
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip((block["ids"], lengths, a, b, a - b), schema, strict=True)], schema=schema)
 
-    own = blocks.select("block", F.lit(-1).alias("bucket"), "ids", F.col("words").alias("x"), F.col("tokens").alias("y"), F.col("lengths").alias("z"))
-    back = totals.where("block IS NOT NULL").select("block", "bucket", F.lit(None).cast("array<long>").alias("ids"), "x", "y", F.lit(None).cast("binary").alias("z"))
+    own = blocks.select("block", F.lit(-1).alias("bucket"), "ids", "target", F.col("words").alias("x"), F.col("tokens").alias("y"), F.col("lengths").alias("z"))
+    back = totals.where("block IS NOT NULL").select("block", "bucket", F.lit(None).cast("array<long>").alias("ids"), F.lit(None).cast("array<int>").alias("target"), "x", "y", F.lit(None).cast("binary").alias("z"))
     together = own.unionByName(back).repartition("block").sortWithinPartitions("block", "bucket")
     return together.mapInArrow(run, "doc_id long, n_tokens long, loss_target double, loss_background double, score double")
