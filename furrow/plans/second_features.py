@@ -31,27 +31,32 @@ def _stage(df: DataFrame, maxes: dict) -> DataFrame:
     out = out.select(*[bands.round_by_max(c, maxes[c]).alias(c) if c in num else F.col(c) for c in out.columns],
                      *digits)
     out = out.select("*", *spec_columns(irr.agronomy_spec(), irr.SHORT))
-    out = out.select("*", *spec_columns(irr.expression_library_spec(), irr.SHORT))
-    return out.select("*", *crosses.nway_crosses([*irr.CROSS_PAIRS, *irr.CROSS_TRIPLETS]))
+    return out.select("*", *spec_columns(irr.expression_library_spec(), irr.SHORT))
 
 
 def run_all_features(train: DataFrame, test: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Returns ``(train, test, dropped_columns)``."""
+    """Returns ``(train, test, dropped_columns)``.
+
+    Crosses and their counts depend on the categories alone, so they are joined
+    while the rows are narrow; the wide columns follow in one projection of a written table.
+    """
     tune_wide(train.sparkSession)
-    train, test = normalise_numeric(train), normalise_numeric(test)
-    maxes = column_max(train, irr.SECOND_NUM_COLS)
-    # written once: later steps (fit, encode, constant check) reuse them, and
-    # the lookup joins do not fuse with ~300 expressions into one huge method
-    tr = write_table(_stage(train, maxes), "second-train")
-    te = write_table(_stage(test, maxes), "second-test")
-    cats = [*irr.BASE_CATEGORICAL_COLS, *["__".join(g) for g in [*irr.CROSS_PAIRS, *irr.CROSS_TRIPLETS]]]
-    enc = fit_count_encoder(tr, cats)
-
-    def encode(df: DataFrame) -> DataFrame:
-        out = enc.transform(df, cats, suffix="__ce")
-        return out.select(*[F.col(c).alias(f"ce_{c[:-4]}") if c.endswith("__ce") else F.col(c) for c in out.columns])
+    groups = [*irr.CROSS_PAIRS, *irr.CROSS_TRIPLETS]
+    names = ["__".join(g) for g in groups]
+    cats = [*irr.BASE_CATEGORICAL_COLS, *names]
+    raw = {}
+    for key, df in (("train", train), ("test", test)):
+        raw[key] = write_table(normalise_numeric(df).select("*", *crosses.nway_crosses(groups)), f"second-{key}")
+    maxes = column_max(raw["train"], irr.SECOND_NUM_COLS)
+    enc = fit_count_encoder(raw["train"], cats)
+
+    def build(key: str, df: DataFrame) -> DataFrame:
+        coded = enc.transform(raw[key], cats, suffix="__ce").withColumnsRenamed({f"{c}__ce": f"ce_{c}" for c in cats})
+        out = _stage(write_table(coded, f"second-{key}-coded"), maxes)
+        last = [*names, *[f"ce_{c}" for c in cats]]
+        return out.select(*df.columns, *[c for c in out.columns if c not in df.columns and c not in last], *last)
 
     # the test rows are read twice: for the constant columns and for the result
-    tr, te = encode(tr), write_table(encode(te), "second-test-encoded")
+    tr, te = build("train", train), write_table(build("test", test), "second-test-wide")
     drop = constant_columns(te)
     return tr.drop(*drop), te.drop(*drop), drop

@@ -173,3 +173,74 @@ def test_expression_library_is_what_its_names_say(spark):
                 assert got is None or math.isnan(got), (name, values)
             else:
                 assert got == pytest.approx(want, rel=1e-9, abs=1e-12), (name, values)
+
+
+def test_second_feature_set_column_by_column(spark):
+    """Every column of the second build on rows with edge values, against pandas and the names."""
+    import numpy as np
+    import pandas as pd
+
+    from furrow.plans.second_features import run_all_features
+
+    rng = np.random.default_rng(2)
+    n = 60
+    pdf = pd.DataFrame({c: np.round(rng.uniform(-5 if k in ("T", "SM") else 0, hi, n), 3) for (k, c), hi in zip(
+        ROLES.items(), [45, 99, 2000, 20, 70, 120, 11, 1.6, 3.5, 15, 8.5], strict=True)})
+    pdf.iloc[3] = 0.0
+    pdf.loc[5, "Soil_Moisture"] = np.nan
+    pdf.loc[7, ["Rainfall_mm", "Soil_pH"]] = np.nan
+    cats = {c: rng.choice(["a", "b", "c"], n).astype(object) for c in irr.BASE_CATEGORICAL_COLS}
+    cats["Mulching_Used"][:] = "Yes"
+    cats["Season"][11] = cats["Crop_Type"][4] = None
+    pdf = pdf.assign(id=range(n), **cats)
+    schema = ", ".join(f"{c} {'string' if c in cats else 'int' if c == 'id' else 'double'}" for c in pdf)
+    rows = [tuple(None if v is None or v != v else v for v in r) for r in pdf.astype(object).itertuples(index=False)]
+    df = spark.createDataFrame(rows, schema)
+    train, test, dropped = run_all_features(df.where("id < 45"), df.where("id >= 45"))
+    assert set(dropped) >= {"Mulching_Used"} and not set(dropped) & {"id", "Season", "T_sq"}
+    wide = {r["id"]: r.asDict() for r in [*train.collect(), *test.collect()]}
+    assert len(wide) == n and "Mulching_Used" not in wide[0]
+
+    base = pdf.iloc[:45]
+    raw = {c: pdf[c].to_numpy() for c in ROLES.values()}
+    digits = {c: 3 if base[c].max() < 10 else 2 if base[c].max() < 100 else 1 for c in ROLES.values()}
+    checked = {"id", *cats}
+    text = {c: pdf[c].where(pdf[c].notna(), "nan") for c in cats}
+    want = {}
+    for c, x in raw.items():
+        want[c] = pdf[c].round(digits[c])
+        want[f"{c}_bin"] = pd.cut(pdf[c], irr.FIXED_BIN_EDGES[c], labels=False, include_lowest=True)
+        want[f"{c}_int"], want[f"{c}_dec"] = np.floor(x), x - np.floor(x)
+        for k in range(-4, 4):
+            want[f"{c}_digit{k}"] = pd.Series(x // 10.0**k % 10)
+    for g in [*irr.CROSS_PAIRS, *irr.CROSS_TRIPLETS]:
+        joined = text[g[0]].str.cat([text[c] for c in g[1:]], sep="__")
+        want["__".join(g)] = joined
+        want["ce_" + "__".join(g)] = joined.map(joined[:45].value_counts()).fillna(0)
+    for c in cats:
+        want[f"ce_{c}"] = pdf[c].map(pdf[c][:45].value_counts()).fillna(0)
+    own = {n_ for n_ in run(frame(spark), irr.expression_library_spec(), ROLES)[0] if n_ != "id"}
+    agronomy = {n_ for n_ in run(frame(spark), irr.agronomy_spec(), ROLES)[0] if n_ != "id"}
+    scores = {"formula_score", "formula_pred", "dist_to_low_boundary"}
+    for i, row in wide.items():
+        v = {k: float(want[c].iloc[i]) for k, c in ROLES.items()}
+        for name, got in row.items():
+            if name in checked or name in agronomy or name in scores:
+                continue
+            expected = by_name(name, v) if name in own else want[name][i]
+            if isinstance(expected, str):
+                assert got == expected, (i, name)
+            elif expected != expected:
+                assert got is None or got != got, (i, name)
+            else:
+                assert got == pytest.approx(float(expected), rel=1e-6, abs=1e-9), (i, name)
+    # the two families with tests of their own: from the rounded and the raw columns
+    rounded = [{k: None if math.isnan(x := float(want[c].iloc[i])) else x for k, c in ROLES.items()} for i in range(n)]
+    again = run(frame(spark, rounded, stage="x"), [f for f in irr.agronomy_spec()], ROLES)
+    for i, row in wide.items():
+        if pdf["Crop_Growth_Stage"][i] in irr.KC_MAP:
+            continue
+        for name in agronomy & set(row):
+            assert row[name] == (None if again[i][name] is None else pytest.approx(again[i][name], rel=1e-9)), (i, name)
+    left = set(want) | own | agronomy | scores | checked
+    assert set(wide[0]) | set(dropped) == left
