@@ -208,7 +208,7 @@ def _by(key: str, parts: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
         yield held
 
 
-def add_up(sent: DataFrame) -> DataFrame:
+def add_up(sent: DataFrame, buckets: int) -> DataFrame:
     """``block, bucket, x, y, words, background, target``: each bucket's answers to the blocks, from rows of ``count_blocks``.
 
     ``x, y``: totals of the other blocks, in all texts and in the target, of the keys that the block
@@ -233,7 +233,7 @@ def add_up(sent: DataFrame) -> DataFrame:
             out += [(r["block"], r["bucket"], squeeze(a), squeeze(b), None, None, None) for r, a, b in zip(rows, *others, strict=True)]
             yield from batches(out, schema, 64)
 
-    placed = sent.repartition("bucket").sortWithinPartitions("bucket", "block")
+    placed = sent.repartition(buckets, "bucket").sortWithinPartitions("bucket", "block")
     return placed.mapInArrow(run, "block long, bucket int, x binary, y binary, words long, background long, target long")
 
 
@@ -265,7 +265,9 @@ def cross_entropy_difference(
     ids = target_ids.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
     blocks = scratch.write(mark(scratch.write(cut_blocks(base, vocab), "cut"), ids), "blocks")
     scratch.drop("cut")
-    totals = scratch.write(add_up(count_blocks(blocks, buckets_for(base, bucket_bytes, least=64))), "totals")
+    # as many tasks as the input's size asks for, whatever the session's setting
+    buckets = buckets_for(base, bucket_bytes, least=64)
+    totals = scratch.write(add_up(count_blocks(blocks, buckets), buckets), "totals")
     stats = totals.where("block IS NULL").agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("words", "target", "background"))).first()
     # all words but the end; then unknown, begin and end
     size = (stats[0] - 1 if vocab is None else len(vocab)) + 3
@@ -290,5 +292,5 @@ def cross_entropy_difference(
 
     own = blocks.select("block", F.lit(-1).alias("bucket"), "ids", "target", F.col("words").alias("x"), F.col("tokens").alias("y"), F.col("lengths").alias("z"))
     back = totals.where("block IS NOT NULL").select("block", "bucket", F.lit(None).cast("array<long>").alias("ids"), F.lit(None).cast("array<int>").alias("target"), "x", "y", F.lit(None).cast("binary").alias("z"))
-    together = own.unionByName(back).repartition("block").sortWithinPartitions("block", "bucket")
+    together = own.unionByName(back).repartition(buckets, "block").sortWithinPartitions("block", "bucket")
     return together.mapInArrow(run, "doc_id long, n_tokens long, loss_target double, loss_background double, score double")
