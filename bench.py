@@ -21,7 +21,7 @@ from furrow.plans.registry import all_queries  # noqa: E402
 from furrow.session import build_session  # noqa: E402
 
 #: Fits models or plans hundreds of columns; run by name with BENCH_QUERIES.
-LONG = {"build_features_wide"}
+LONG = {"build_features_wide", "score_requests_stream"}
 
 
 def main() -> None:

@@ -101,20 +101,23 @@ def test_sliding_monitors_equal_batch_after_a_restart(spark, tmp_path):
 
 def test_late_rows_of_more_batches_than_progress_is_kept_for(spark, tmp_path):
     src, out = f"{tmp_path}/in", f"{tmp_path}/out"
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    conf = {"spark.sql.shuffle.partitions": "1", "spark.sql.streaming.numRecentProgressUpdates": "3"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
     try:
         put(spark, src, [(0, 5000, "ok")], "f000")
         put(spark, src, [(1, 6000, "ok")], "f001")  # the watermark has passed 4990 from here on
-        base = spark.createDataFrame([(i, T0 + dt.timedelta(minutes=i % 50), "ok", float(i)) for i in range(2, 107)], SCHEMA)
-        base.repartitionByRange(105, "id").write.parquet(f"{src}/late")  # a late row in each of 105 micro-batches, more than progress is kept for
+        base = spark.createDataFrame([(i, T0 + dt.timedelta(minutes=i % 50), "ok", float(i)) for i in range(2, 14)], SCHEMA)
+        base.repartitionByRange(12, "id").write.parquet(f"{src}/late")  # a late row in each of 12 micro-batches, more than progress is kept for
         _, late = live(spark, src, out)
-        assert late == 105
+        assert late == 12
         put(spark, src, [(500, 1, "ok")], "g0")  # and one in a second run
         buckets, late = live(spark, src, out)
-        assert late == 106 and buckets.agg(F.sum("events")).first()[0] == 2
+        assert late == 13 and buckets.agg(F.sum("events")).first()[0] == 2
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
+        for k, v in old.items():
+            spark.conf.set(k, v)
 
 
 def test_binned_values_keep_their_relative_error(spark, tmp_path):
