@@ -12,9 +12,10 @@
 3. Classifier. A linear model of the voters' strengths is trained on the label
    model's posterior labels and scaled so that the training labels fit.
 
-Labels are used from training rows only. The mined terms, the classifier's
-sample (``sample`` labelled rows at most) and the patterns have fixed bounds;
-rates, correlations and scores come from all texts.
+Labels are used from training rows only. Terms are counted over all labelled
+training texts; rates, correlations and scores come from all texts. Bounded by
+parameters are the size of the lexicons (``most`` terms) and the classifier's
+sample (``sample`` labelled rows); the vote patterns are bounded by the voters.
 """
 
 from __future__ import annotations
@@ -24,12 +25,13 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from furrow.llm.common import Scratch, batches, window_hashes, word_hashes, words
 
@@ -105,13 +107,6 @@ class Model:
     def knows(self, word: str) -> bool:
         return word in INSULTS or any(self.terms.get(p, DOUBTFUL) != DOUBTFUL for p in parts_of(word))
 
-    def score(self, x: np.ndarray) -> np.ndarray:
-        return _sigmoid(x @ self.weights + self.bias)
-
-    def score_texts(self, texts) -> np.ndarray:
-        x = np.array([self.strengths(t) for t in texts], "f8").reshape(-1, VOTERS)
-        return self.score(x)
-
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(z, -35, 35)))
@@ -122,50 +117,67 @@ def in_training(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("long").cast("string").cast("binary")) % 3 != 1, F.lit(False))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
-    """``doc_id, text, toxic`` of at most ``sample`` labelled training rows, chosen by hash of the doc_id."""
-    marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("toxic IS NOT NULL")
-    marked = marked.where(in_training(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    marked = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(marked), "doc_id")  # two numbers a row, ``sample`` rows at most
+def known_labels(labels: DataFrame) -> DataFrame:
+    """``doc_id, toxic`` of the labelled training rows; a doc_id with several labels is toxic if one of them is."""
+    marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), (F.col("toxic") > 0).cast("int").alias("toxic")).where("toxic IS NOT NULL")
+    return marked.where(in_training(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
 
 
-def mine_terms(train: DataFrame, most: int = 4000, precision: float = 0.8, lift: float = 3.0, doubt: float = 1e-7) -> dict[str, int]:
-    """Significant terms of toxic rows, and the lexicon of each.
+def mining_rows(docs: DataFrame, known: DataFrame, scratch: Scratch) -> DataFrame:
+    """``text, toxic`` of the labelled training texts, one of each group of copies.
 
-    ``train(text, toxic)``. Rows that share their smallest hash of five-word
-    runs (copies, most near copies) count once. A term is kept if as many toxic
-    rows would, at the base rate, come about with a probability below
-    ``doubt``. Terms of at least ``precision`` are dealt to the lexicons; those
-    that are at least ``lift`` times as toxic as the base rate are doubtful. Of
-    a word and its beginnings the most general with the same support stays.
+    Texts that share their smallest hash of five-word runs (copies, most near
+    copies) and their label count once. Which one stays is found on narrow rows
+    (smallest text hash, then doc_id), and texts are joined to those.
     """
-    schema = pa.schema([("least", pa.int64()), ("text", pa.string()), ("toxic", pa.int32())])
+    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("toxic", pa.int32()), ("h", pa.int64()), ("mid", pa.int64()), ("least", pa.int64())])
 
     def mark(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            texts, toxic = part.column(0).to_pylist(), part.column(1)
             least = []
-            for t in texts:
+            for t in part.column(1).to_pylist():
                 h = word_hashes(words(t))
                 runs = window_hashes(h, min(5, len(h))) if len(h) else h
                 least.append(int(runs.min()) >> 1 if len(runs) else 0)
-            yield pa.RecordBatch.from_arrays([pa.array(least, pa.int64()), pa.array(texts, pa.string()), toxic.cast(pa.int32())], schema=schema)
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(least, pa.int64())], schema=schema)
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(known, "doc_id")
+    texts = texts.select("doc_id", "text", "toxic", F.xxhash64("text").alias("h"), F.monotonically_increasing_id().alias("mid"))
+    train = scratch.write(texts.mapInArrow(mark, "doc_id long, text string, toxic int, h long, mid long, least long"), "train")
+    once = train.groupBy("least", "toxic").agg(F.min(F.struct("h", "doc_id", "mid")).alias("first"))
+    return train.select("mid", "text", "toxic").join(once.select(F.col("first.mid").alias("mid")), "mid").select("text", "toxic")
+
+
+def mine_terms(train: DataFrame, most: int = 50_000, precision: float = 0.8, lift: float = 3.0, doubt: float = 1e-7) -> dict[str, int]:
+    """Significant terms of toxic rows, and the lexicon of each.
+
+    ``train(text, toxic)``: see ``mining_rows``. A term is kept if as many toxic
+    rows would, at the base rate, come about with a probability below
+    ``doubt``. Terms of at least ``precision`` are dealt to the lexicons; those
+    that are at least ``lift`` times as toxic as the base rate are doubtful. Of
+    a word and its beginnings the most general with the same support stays.
+    ``most`` bounds the size of the model: beyond it the terms of the fewest
+    toxic rows are left out.
+    """
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("term", pa.string()), ("k", pa.int64()), ("m", pa.int64())])
-        seen: dict[str, list[int]] = {}
+        terms_of = lru_cache(1 << 16)(parts_of)
+        seen: tuple[Counter, Counter] = (Counter(), Counter())  # clean, toxic
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            yield from batches(((t, seen[1][t], seen[0][t]) for t in seen[0].keys() | seen[1].keys()), schema)
+            seen[0].clear()
+            seen[1].clear()
+
         for part in parts:
             for text, toxic in zip(part.column(0), part.column(1).to_pylist(), strict=True):
-                for term in set().union(*(parts_of(w) for w in set(LETTERS.findall((text.as_py() or "").lower())))):
-                    seen.setdefault(term, [0, 0])[toxic] += 1
-                if len(seen) > 200_000:  # what a task holds is bounded; Spark adds the parts up
-                    yield from batches(((t, k, m) for t, (m, k) in seen.items()), schema)
-                    seen = {}
-        yield from batches(((t, k, m) for t, (m, k) in seen.items()), schema)
-
-    once = train.select("text", F.when(F.col("toxic") > 0, 1).otherwise(0).alias("toxic")).mapInArrow(mark, "least long, text string, toxic int")
-    once = once.groupBy("least", "toxic").agg(F.first("text").alias("text"))
+                seen[toxic].update(set().union(*map(terms_of, set(LETTERS.findall((text.as_py() or "").lower())))))
+                if len(seen[0]) + len(seen[1]) > 200_000:  # what a task holds is bounded; Spark adds the parts up
+                    yield from counted()
+        yield from counted()
+
+    once = train
     total = dict(once.groupBy("toxic").count().collect())
     if not total.get(1) or not total.get(0):
         return {}
@@ -176,12 +188,17 @@ def mine_terms(train: DataFrame, most: int = 4000, precision: float = 0.8, lift:
     evidence = (F.col("k") + F.col("m")) * (p * F.log(p / F.lit(base)) + q * F.log(q / F.lit(1 - base)))
     kept = counts.where((F.col("k") > 0) & (p >= min(precision, lift * base)) & (evidence >= -math.log(doubt))).orderBy(F.desc("k"), "term").limit(most).collect()
     support = {r.term: r.k for r in kept}
+    longer_than: dict[str, list[str]] = {}
+    for t in support:
+        for cut in CUTS:
+            if len(t) > cut:
+                longer_than.setdefault(t[:cut], []).append(t)
     sure = {r.term for r in kept if r.k >= max(precision, base) * (r.k + r.m)}
     dropped: set[str] = set()
     for term in sorted(support, key=lambda t: (len(t), t)):
         if term in dropped:
             continue
-        longer = [t for t in support if t != term and t.startswith(term)] if len(term) in CUTS else []
+        longer = longer_than.get(term, [])
         if any(support[t] >= (0.95 if term in sure else 0.75) * support[term] for t in longer):
             dropped.add(term)
         else:  # what a sure beginning covers, and doubtful words that a doubtful one covers, say nothing more
@@ -192,14 +209,15 @@ def mine_terms(train: DataFrame, most: int = 4000, precision: float = 0.8, lift:
 
 
 def vote_features(docs: DataFrame, model: Model) -> DataFrame:
-    """``doc_id, x`` (strengths of the voters) of every row."""
-    schema = pa.schema([("doc_id", pa.int64()), ("x", pa.list_(pa.float64()))])
+    """``row, x``: every row, whole, and the strengths of the voters on its ``text``."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([model.strengths(t.as_py()) for t in part.column(1)], pa.list_(pa.float64()))], schema=schema)
+            x = pa.array([model.strengths(t.as_py()) for t in part.column(1)], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([part.column(0), x], names=["row", "x"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, x array<double>")
+    rows = docs.select(F.struct("*").alias("row"), F.col("text").alias("text"))
+    return rows.mapInArrow(run, StructType([rows.schema["row"], StructField("x", ArrayType(DoubleType()))]))
 
 
 def fit_label_model(patterns: np.ndarray, counts: np.ndarray, start: np.ndarray, anchor: float, rounds: int = 10) -> tuple:
@@ -243,21 +261,25 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 30
     return w[:-1], float(w[-1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = 20_000, scratch: Scratch | None = None) -> tuple[Model, DataFrame]:
-    """The fitted model, and ``doc_id, x`` of every row of ``docs`` (written to scratch).
+def fit(docs: DataFrame, labels: DataFrame, sample: int = 20_000, scratch: Scratch | None = None, carry: list[str] | None = None) -> tuple[Model, DataFrame]:
+    """The fitted model, and ``row, x`` of every row of ``docs`` (written to scratch).
 
     ``docs(doc_id, text)``, ``labels(doc_id, toxic)``: labels of rows outside
     the training part are never read into the model. Without labels of both
     classes no terms are mined and the general voters carry the score alone.
+    ``row`` has the columns ``carry`` (``doc_id`` alone by default).
     """
     scratch = scratch or Scratch(docs.sparkSession, "toxicity")
-    train = scratch.write(training_rows(docs, labels, sample), "train")
-    model = Model(terms=mine_terms(train))
-    features = scratch.write(vote_features(docs, model), "features")
+    known = scratch.write(known_labels(labels), "known")
+    model = Model(terms=mine_terms(mining_rows(docs, known, scratch)))
+    features = vote_features(docs, model).select(F.struct(*[F.col("row")[c].alias(c) for c in carry or ["doc_id"]]).alias("row"), "x")
+    features = scratch.write(features, "features")
     bits = sum((F.when(F.col("x")[i] > 0, 1 << i).otherwise(0) for i in range(1, VOTERS)), F.when(F.col("x")[0] > 0, 1).otherwise(0))
     rows = features.groupBy(bits.alias("v")).count().collect()  # 2^VOTERS at most
-    taught = scratch.write(vote_features(train, model).join(train.select("doc_id", "toxic").distinct(), "doc_id"), "taught")
-    known = taught.select("x", "toxic").toPandas()  # ``sample`` rows
+    some = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)  # two numbers a row, ``sample`` rows at most
+    taught = features.select(F.col("row.doc_id").cast("long").alias("doc_id"), "x").join(F.broadcast(some), "doc_id")
+    taught = taught.groupBy("doc_id").agg(F.min(F.struct("x", "toxic")).alias("one"))  # a doc_id that repeats counts once
+    known = taught.select("one.x", "one.toxic").toPandas()  # ``sample`` rows at most
     x = np.array(known["x"].tolist(), "f8").reshape(-1, VOTERS)
     y = (known["toxic"].to_numpy() > 0).astype("f8")
     codes = np.array([r["v"] for r in rows], "i8")
@@ -283,7 +305,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 20_000, scratch: Scrat
         slope, shift = _logistic((x @ model.weights + model.bias)[:, None], y, ridge=1e-2)
         if slope[0] > 0:
             model.weights, model.bias = model.weights * slope[0], model.bias * float(slope[0]) + shift
-    scratch.drop("train", "taught")
+    scratch.drop("train", "known")
     return model, features
 
 
@@ -296,19 +318,18 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.7,
     a doc_id with several labels is toxic if one of them is. Other columns are
     not read. No rows in, no rows out.
     """
-    model, features = fit(docs, labels, sample)
-    margin = sum((F.col("x")[i] * F.lit(float(w)) for i, w in enumerate(model.weights)), F.lit(float(model.bias)))
-    score = 1.0 / (1.0 + F.exp(-F.least(F.greatest(margin, F.lit(-35.0)), F.lit(35.0))))
-    scored = features.select("doc_id", (F.col("doc_id").isNotNull() & ~in_training(F.col("doc_id"))).alias("held_out"), score.alias("score"))
-    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    model, features = fit(docs.select("doc_id", "text"), labels, sample)
+    scored = features.select(F.col("row.doc_id").cast("long").alias("doc_id"), _score(model).alias("score"))
+    scored = scored.withColumn("held_out", F.col("doc_id").isNotNull() & ~in_training(F.col("doc_id")))
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
-def remove_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, sample: int = 20_000) -> DataFrame:
-    """The rows of ``docs`` that score below ``threshold``, with all their columns."""
-    model, _ = fit(docs, labels, sample)
+def _score(model: Model) -> Column:
+    margin = sum((F.col("x")[i] * F.lit(float(w)) for i, w in enumerate(model.weights)), F.lit(float(model.bias)))
+    return 1.0 / (1.0 + F.exp(-F.least(F.greatest(margin, F.lit(-35.0)), F.lit(35.0))))
 
-    @F.pandas_udf("double")
-    def score(text: pd.Series) -> pd.Series:
-        return pd.Series(model.score_texts(text))
 
-    return docs.where(score(F.col("text")) < threshold)
+def remove_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, sample: int = 20_000) -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``, with all their columns; each is scored once and written with its votes."""
+    model, features = fit(docs, labels, sample, carry=docs.columns)
+    return features.where(_score(model) < threshold).select("row.*")

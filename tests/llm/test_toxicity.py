@@ -54,6 +54,22 @@ def test_held_out_labels_are_not_learnt(data, spark):
     assert a == b
 
 
+def test_terms_come_from_all_labelled_training_texts(data):
+    _, docs, labels = data
+    few, all_ = (toxicity.fit(docs, labels, sample=n)[0] for n in (50, 20_000))
+    assert few.terms == all_.terms and any("zorq".startswith(t) or t.startswith("zorq") for t in few.terms)
+
+
+def test_copies_and_repeated_rows_are_mined_once(spark):
+    texts = {0: "one two three four five six", 2: "one two three four five six", 3: "other words that are here alone", 7: "one two three four five six"}
+    ids = [i for i in range(60) if not held_out(i)][:4]
+    rows = [(i, t) for i, t in zip(ids, texts.values(), strict=True)] * 2 + [(ids[0], None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = toxicity.known_labels(spark.createDataFrame([(i, int(k == 3)) for k, i in enumerate(ids)], "doc_id long, toxic int"))
+    got = toxicity.mining_rows(docs, known, toxicity.Scratch(spark, "mining")).collect()
+    assert sorted((r.text or "", r.toxic) for r in got) == [("", 0), (texts[0], 0), (texts[0], 1), (texts[3], 0)]
+
+
 def test_label_model_finds_accuracies_and_correlations():
     rng = np.random.default_rng(4)
     y = rng.random(40_000) < 0.2
