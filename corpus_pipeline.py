@@ -29,11 +29,8 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest doc_id stays."""
-    groups = simhash.near_duplicates(docs.select("doc_id", "text"), shingle=3, radius=3)
-    # a document without a doc_id is in no group that it could stand for, so it stays
-    first = groups.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi").unionByName(docs.where("doc_id IS NULL")).select(COLUMNS)
+    """Of each group of near duplicates one row stays: the smallest doc_id (nulls last), then the smallest text hash."""
+    return simhash.keep_one(docs, shingle=3, radius=3).select(COLUMNS)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

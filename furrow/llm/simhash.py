@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from furrow.llm.common import Scratch, sorted_groups, words
 from furrow.llm.components import connected_components
+from furrow.operators.ranking import rank_in_group
 
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -50,15 +51,16 @@ def fingerprint(text: str | None, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, fp)`` for every row; null and empty texts have fingerprint 0. Other columns are not read."""
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+    """``(doc_id, h, fp)`` for every row, ``h`` a hash of the text; null and empty texts have fingerprint 0. Other columns are not read."""
+    schema = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("fp", pa.int64())])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            fps = np.array([fingerprint(t, shingle) for t in part.column(1).to_pylist()], "u8").view("i8")
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fps)], schema=schema)
+            fps = np.array([fingerprint(t, shingle) for t in part.column(2).to_pylist()], "u8").view("i8")
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(fps)], schema=schema)
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(run, "doc_id long, h long, fp long")
 
 
 def bit_planes(fps: np.ndarray) -> np.ndarray:
@@ -224,6 +226,27 @@ def links(reps: DataFrame, radius: int, scratch: Scratch, block: int = 4096) ->
     return units.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "u long, v long")
 
 
+def _grouped(docs: DataFrame, shingle: int, radius: int, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id, h, fp, grp, component_id`` of every row: its group, and the smallest doc_id there (null if none has one)."""
+    scratch = Scratch(docs.sparkSession, "simhash")
+    fps = scratch.write(fingerprints(docs, shingle, id_col, text_col), "fps")
+    named = scratch.write(fps.groupBy("fp").agg(F.min("doc_id").alias("name")), "reps")
+    n, apart, low, high = named.agg(F.count("*"), F.count_distinct("name"), F.min("name"), F.max("name")).first()
+    reps = named.withColumn("rep", F.col("name"))
+    if apart < n:  # fingerprints without a doc_id, or whose doc_id names another one too, get numbers that no name has
+        first = named.where("name IS NOT NULL").groupBy("name").agg(F.min("fp").alias("fp")).select("fp", "name", F.col("name").alias("rep"))
+        rest = rank_in_group(named.join(first.select("fp"), "fp", "left_anti"), [], ["fp"], "rank")
+        number = F.lit(high or 0) + F.col("rank") if (high or 0) < (1 << 63) - 1 - n else F.lit(low) - F.col("rank")
+        reps = scratch.write(first.unionByName(rest.select("fp", "name", number.alias("rep"))), "numbered")
+    found = connected_components(links(reps.select("fp", "rep"), radius, scratch), scratch)
+    classes = reps.join(found, reps.rep == found.node, "left").select("fp", "name", F.coalesce("component", "rep").alias("grp"))
+    if apart < n:
+        classes = classes.join(classes.groupBy("grp").agg(F.min("name").alias("component_id")), "grp").select("fp", "grp", "component_id")
+    else:
+        classes = classes.select("fp", "grp", F.col("grp").alias("component_id"))
+    return fps.join(classes, "fp", "left").select("doc_id", "h", "fp", "grp", "component_id")
+
+
 def near_duplicates(
     docs: DataFrame, shingle: int = 3, radius: int = 3, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -231,16 +254,29 @@ def near_duplicates(
 
     ``component_id`` is the smallest doc_id reachable through links of at most
     ``radius`` differing bits. Null and empty texts have fingerprint 0 and are
-    linked like any other. Rows that repeat a doc_id each get their row. A row
-    whose doc_id is null gets its fingerprint and the component of that
-    fingerprint; it stands for no component itself (null if only such rows
-    have it). No rows in, no rows out.
+    linked like any other. Rows that repeat a doc_id each get their row, and are
+    linked by their fingerprints alone. A row whose doc_id is null is linked
+    like any other; it names no component (null where only such rows are
+    linked). No rows in, no rows out.
     """
-    scratch = Scratch(docs.sparkSession, "simhash")
-    fps = scratch.write(fingerprints(docs, shingle, id_col, text_col), "fps")
-    # two fingerprints can share a smallest doc_id only where a doc_id repeats with other texts: the
-    # fingerprints' links then still meet in that doc_id, which is the component that it belongs to
-    reps = scratch.write(fps.where("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("rep")), "reps")
-    found = connected_components(links(reps, radius, scratch), scratch)
-    classes = reps.join(found, reps.rep == found.node, "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
-    return fps.join(classes, "fp", "left").select("doc_id", "fp", "component_id")
+    return _grouped(docs, shingle, radius, id_col, text_col).select("doc_id", "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, that stay when each group of near duplicates keeps one.
+
+    The row with the smallest doc_id stays (nulls last); of rows that repeat
+    that doc_id the one with the smallest text hash, of those the smallest row
+    by its columns' values. No rows in, no rows out.
+    """
+    scratch = Scratch(docs.sparkSession, "simhash-kept")
+    rows = _grouped(docs, shingle, radius, id_col, text_col).groupBy("grp", "doc_id", "h").agg(F.count("*").alias("n"))
+    first = rows.groupBy("grp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "h", "n")).alias("first"))
+    first = scratch.write(first.select(F.col("first.doc_id").alias("d"), F.col("first.h").alias("g"), "first.n"), "first")
+    whole = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("h"))
+    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("g"))
+    kept = whole.join(first.where("n = 1"), same, "left_semi").select("row.*")
+    if not first.where("n > 1").isEmpty():  # rows that repeat both doc_id and text
+        again = whole.join(first.where("n > 1"), same, "left_semi").groupBy("doc_id", "h").agg(F.min("row").alias("row"))
+        kept = kept.unionByName(again.select("row.*"))
+    return kept

@@ -101,3 +101,21 @@ def test_empty_null_ids_and_repeats(spark):
     df = spark.createDataFrame([(None, "a b c d"), (7, "a b c d"), (7, "a b c d"), (7, "q r s t u"), (None, "only here x y")], "doc_id long, text string")
     got = sorted((str(r.doc_id), str(r.component_id)) for r in simhash.near_duplicates(df).collect())
     assert got == [("7", "7"), ("7", "7"), ("7", "7"), ("None", "7"), ("None", "None")]
+
+
+def test_rows_without_doc_id_link_and_one_row_of_a_group_stays(spark):
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(500)}" for _ in range(200)]
+    edit = [*base[:-1], "edit"]
+    a, b = " ".join(base), " ".join(edit)
+    while bin(brute_fingerprint(a) ^ brute_fingerprint(b)).count("1") > 3:
+        base = [f"w{rng.randrange(500)}" for _ in range(400)]
+        a, b = " ".join(base), " ".join([*base[:-1], "edit"])
+    rows = [(None, a, "x"), (4, b, "y"), (4, b, "y"), (4, b, "z"), (4, "q r s t u", "y"), (9, a, "x"), (None, "only here x y", "p"), (None, "only here x y", "o"), (2**63 - 1, "z z z", "m")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row string")
+    got = sorted((str(r.doc_id), str(r.component_id)) for r in simhash.near_duplicates(docs).collect())
+    assert got == sorted([("None", "4"), ("4", "4"), ("4", "4"), ("4", "4"), ("4", "4"), ("9", "4"), ("None", "None"), ("None", "None"), (str(2**63 - 1), str(2**63 - 1))])
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(map(str, kept.collect())) == sorted(map(str, spark.createDataFrame([(4, b, "y"), (4, "q r s t u", "y"), (None, "only here x y", "o"), (2**63 - 1, "z z z", "m")], docs.schema).collect()))
+    assert simhash.keep_one(docs.limit(0)).collect() == []
