@@ -123,35 +123,37 @@ def known_labels(labels: DataFrame) -> DataFrame:
     return marked.where(in_training(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
 
 
-def mining_rows(docs: DataFrame, known: DataFrame, scratch: Scratch) -> DataFrame:
-    """``text, toxic`` of the labelled training texts, one of each group of copies.
+def mining_rows(docs: DataFrame, known: DataFrame, scratch: Scratch) -> tuple[DataFrame, dict[int, int]]:
+    """``text, toxic`` of the labelled training texts, one of each group of copies, and how many there are of each label.
 
     Texts that share their smallest hash of five-word runs (copies, most near
-    copies) and their label count once. Which one stays is found on narrow rows
-    (smallest text hash, then doc_id), and texts are joined to those.
+    copies) and their label count once. Which one stays (smallest text hash,
+    then doc_id) is found on narrow rows; then training texts are shuffled once,
+    rows that repeat whole merged before.
     """
-    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("toxic", pa.int32()), ("h", pa.int64()), ("mid", pa.int64()), ("least", pa.int64())])
+    schema = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("least", pa.int64())])
 
     def mark(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             least = []
-            for t in part.column(1).to_pylist():
+            for t in part.column(2).to_pylist():
                 h = word_hashes(words(t))
                 runs = window_hashes(h, min(5, len(h))) if len(h) else h
                 least.append(int(runs.min()) >> 1 if len(runs) else 0)
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(least, pa.int64())], schema=schema)
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(least, pa.int64())], schema=schema)
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(known, "doc_id")
-    texts = texts.select("doc_id", "text", "toxic", F.xxhash64("text").alias("h"), F.monotonically_increasing_id().alias("mid"))
-    train = scratch.write(texts.mapInArrow(mark, "doc_id long, text string, toxic int, h long, mid long, least long"), "train")
-    once = train.groupBy("least", "toxic").agg(F.min(F.struct("h", "doc_id", "mid")).alias("first"))
-    return train.select("mid", "text", "toxic").join(once.select(F.col("first.mid").alias("mid")), "mid").select("text", "toxic")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"), "text").where(in_training(F.col("doc_id")))
+    narrow = texts.mapInArrow(mark, "doc_id long, h long, least long").join(known, "doc_id")
+    once = narrow.groupBy("least", "toxic").agg(F.min(F.struct("h", "doc_id")).alias("first"))
+    once = scratch.write(once.select("first.doc_id", "first.h", "toxic"), "once")
+    whole = texts.groupBy("doc_id", "h").agg(F.min("text").alias("text")).join(once, ["doc_id", "h"])
+    return whole.select("text", "toxic"), dict(once.groupBy("toxic").count().collect())
 
 
-def mine_terms(train: DataFrame, most: int = 50_000, precision: float = 0.8, lift: float = 3.0, doubt: float = 1e-7) -> dict[str, int]:
+def mine_terms(train: DataFrame, total: dict[int, int], most: int = 50_000, precision: float = 0.8, lift: float = 3.0, doubt: float = 1e-7) -> dict[str, int]:
     """Significant terms of toxic rows, and the lexicon of each.
 
-    ``train(text, toxic)``: see ``mining_rows``. A term is kept if as many toxic
+    ``train(text, toxic)``, ``total`` rows by label: see ``mining_rows``. A term is kept if as many toxic
     rows would, at the base rate, come about with a probability below
     ``doubt``. Terms of at least ``precision`` are dealt to the lexicons; those
     that are at least ``lift`` times as toxic as the base rate are doubtful. Of
@@ -177,12 +179,10 @@ def mine_terms(train: DataFrame, most: int = 50_000, precision: float = 0.8, lif
                     yield from counted()
         yield from counted()
 
-    once = train
-    total = dict(once.groupBy("toxic").count().collect())
     if not total.get(1) or not total.get(0):
         return {}
     base = total[1] / (total[0] + total[1])
-    counts = once.select("text", "toxic").mapInArrow(count, "term string, k long, m long").groupBy("term").agg(F.sum("k").alias("k"), F.sum("m").alias("m"))
+    counts = train.mapInArrow(count, "term string, k long, m long").groupBy("term").agg(F.sum("k").alias("k"), F.sum("m").alias("m"))
     p = F.col("k") / (F.col("k") + F.col("m"))
     q = F.greatest(1 - p, F.lit(1e-12))
     evidence = (F.col("k") + F.col("m")) * (p * F.log(p / F.lit(base)) + q * F.log(q / F.lit(1 - base)))
@@ -271,7 +271,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 20_000, scratch: Scrat
     """
     scratch = scratch or Scratch(docs.sparkSession, "toxicity")
     known = scratch.write(known_labels(labels), "known")
-    model = Model(terms=mine_terms(mining_rows(docs, known, scratch)))
+    model = Model(terms=mine_terms(*mining_rows(docs, known, scratch)))
     features = vote_features(docs, model).select(F.struct(*[F.col("row")[c].alias(c) for c in carry or ["doc_id"]]).alias("row"), "x")
     features = scratch.write(features, "features")
     bits = sum((F.when(F.col("x")[i] > 0, 1 << i).otherwise(0) for i in range(1, VOTERS)), F.when(F.col("x")[0] > 0, 1).otherwise(0))
@@ -305,7 +305,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 20_000, scratch: Scrat
         slope, shift = _logistic((x @ model.weights + model.bias)[:, None], y, ridge=1e-2)
         if slope[0] > 0:
             model.weights, model.bias = model.weights * slope[0], model.bias * float(slope[0]) + shift
-    scratch.drop("train", "known")
+    scratch.drop("once", "known")
     return model, features
 
 

@@ -66,7 +66,9 @@ def test_copies_and_repeated_rows_are_mined_once(spark):
     rows = [(i, t) for i, t in zip(ids, texts.values(), strict=True)] * 2 + [(ids[0], None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     known = toxicity.known_labels(spark.createDataFrame([(i, int(k == 3)) for k, i in enumerate(ids)], "doc_id long, toxic int"))
-    got = toxicity.mining_rows(docs, known, toxicity.Scratch(spark, "mining")).collect()
+    found, total = toxicity.mining_rows(docs, known, toxicity.Scratch(spark, "mining"))
+    got = found.collect()
+    assert total == {0: 3, 1: 1}
     assert sorted((r.text or "", r.toxic) for r in got) == [("", 0), (texts[0], 0), (texts[0], 1), (texts[3], 0)]
 
 
