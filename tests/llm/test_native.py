@@ -72,6 +72,21 @@ def test_chat_snapshots_against_brute_force(spark):
     assert {r.conv_id for r in chat.render_chats(spark.createDataFrame(rows, CHAT)).collect()} == want
 
 
+def test_long_conversations_are_hashed_in_segments(spark):
+    rng = random.Random(9)
+    long_ = [rng.choice("abc") for _ in range(1000)]
+    convs = {1: long_, 2: long_[:999], 3: long_[:64], 4: [*long_[:500], "z", *long_[501:]], 5: long_[:1000], 6: long_[1:], None: long_[:700]}
+    rows = [(c, i, "user", x, 0) for c, xs in convs.items() for i, x in enumerate(xs)]
+    df = spark.createDataFrame(rows, CHAT)
+    found = {n: sorted((str(r.conv_id), r.pos, r.a, r.b) for r in chat.prefixes(df, n).collect()) for n in (1 << 16, 64, 7)}
+    assert found[64] == found[7] == found[1 << 16] and len(found[64]) == len(rows)
+    at = {(c, p): (a, b) for c, p, a, b in found[64]}
+    assert len({at["1", p] for p in range(1, 1001)}) == 1000
+    assert all(at["1", p] == at[c, p] for c, m in (("2", 999), ("3", 64), ("4", 500), ("None", 700)) for p in range(1, m + 1))
+    assert at["1", 501] != at["4", 501] and at["1", 999] != at["6", 999]
+    assert {r.conv_id for r in chat.render_chats(df).collect()} == {1, 4, 6}
+
+
 def brute_contained(docs, items, width=5, threshold=0.8):
     norm = lambda t: [w for w in re.split("[ \t-\r]+", (t or "").lower()) if w]
     out = {}
