@@ -5,8 +5,9 @@ range-sorted by page_id; each task writes its range to gzip files (one member a
 record) and rolls to the next file once the compressed size is reached. Files
 get temporary names that are unique to the task attempt; the rows that the
 tasks return are the manifest, and only the files in it are renamed to their
-final names. The manifest is written last: a folder without one is not
-complete. The bytes depend on the rows alone (dates and ids are derived).
+final names, in tasks that can run again. The manifest is written last: a
+folder without one is not complete, and a second call completes it. The bytes
+depend on the rows alone (dates and ids are derived).
 
 Reading: the manifest lists the files; each is streamed by one task, record by
 record.
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from furrow.llm.common import Scratch
+from furrow.llm.common import Scratch, shuffle_partitions
 
 MANIFEST = "part int, seq int, name string, temp string, records long, bytes long, sha256 string"
 RECORD = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
@@ -145,13 +146,18 @@ def write_warc(
 
     ``WARC-Date`` is ``since`` plus page_id seconds (modulo a century), not the
     clock. Null html is an empty payload; a null url leaves its header out. No
-    rows: an empty manifest. ``columns``: id_col, url_col, html_col.
+    rows: an empty manifest. A folder that holds a manifest is complete and is
+    not written again (FileExistsError); what a call that ended early left is
+    replaced, and files that the manifest does not name are not read.
+    ``columns``: id_col, url_col, html_col.
     """
     spark = pages.sparkSession
     start = datetime.fromisoformat(since).replace(tzinfo=timezone.utc)
     store, root = fs.FileSystem.from_uri(_uri(folder))
     store.create_dir(root, recursive=True)
     folder = _uri(folder)
+    if store.get_file_info(f"{root}/_manifest.parquet").type != fs.FileType.NotFound:
+        raise FileExistsError(f"{folder} is complete")
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = _Shard(folder, TaskContext.get().partitionId())
@@ -175,10 +181,8 @@ def write_warc(
     # written before anything is renamed, so that no task runs a second time after the commit
     listed = f"{folder}/_manifest.tmp.parquet"
     sorted_.mapInArrow(run, MANIFEST).write.mode("overwrite").parquet(listed)
-    kept = set()
-    for row in spark.read.schema(MANIFEST).parquet(listed).select("temp", "name").toLocalIterator():
-        store.move(f"{root}/{row.temp}", f"{root}/{row.name}")
-        kept.add(row.name)
+    final = spark.read.schema(MANIFEST).parquet(listed).select("temp", "name", "bytes").repartition(shuffle_partitions(spark))
+    final.mapInArrow(_renamer(folder), "name string").write.format("noop").mode("overwrite").save()
     for info in store.get_file_info(fs.FileSelector(root)):  # of attempts that did not count
         if info.base_name.startswith("_temporary-"):
             store.delete_file(info.path)
@@ -186,6 +190,26 @@ def write_warc(
     return read_manifest(spark, folder)
 
 
+def _renamer(folder: str):
+    """Gives the files of manifest rows ``temp, name, bytes`` their names; one that has its name already is left."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = fs.FileSystem.from_uri(folder)
+        for part in parts:
+            for temp, name, size in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                try:
+                    store.move(f"{root}/{temp}", f"{root}/{name}")
+                except OSError:  # another attempt of this task was here
+                    if store.get_file_info(f"{root}/{temp}").type != fs.FileType.NotFound:
+                        raise
+                info = store.get_file_info(f"{root}/{name}")
+                if info.type != fs.FileType.File or info.size != size:
+                    raise FileNotFoundError(f"{name} of {size} bytes is not in {folder}")
+            yield part.select(["name"])
+
+    return run
+
+
 def _uri(folder: str) -> str:
     return folder if "://" in folder else "file://" + folder.removeprefix("file:")
 

@@ -78,6 +78,33 @@ def test_leftover_attempts_are_removed_and_breaks_are_found(spark, folder, tmp_p
         warc.read_warc(spark, folder).count()
 
 
+def test_a_call_that_ended_early_is_completed(spark, folder, tmp_path):
+    rows, df = pages(spark)
+    want = {r.name: r.sha256 for r in warc.write_warc(df, f"file://{tmp_path}/other", roll_bytes=300).collect()}
+    os.makedirs(f"{tmp_path}/warc/_manifest.tmp.parquet")
+    for name in [min(want), "part-99999-00000.warc.gz"]:
+        open(f"{tmp_path}/warc/{name}", "w").close()
+    got = {r.name: r.sha256 for r in warc.write_warc(df, folder, roll_bytes=300).collect()}
+    assert got == want and warc.read_warc(spark, folder).count() == len(rows)
+    with pytest.raises(FileExistsError):
+        warc.write_warc(df, folder)
+    assert warc.read_warc(spark, folder).count() == len(rows)
+
+
+def test_renaming_can_run_again(tmp_path):
+    import pyarrow as pa
+
+    (tmp_path / "t0").write_bytes(b"abc")
+    (tmp_path / "t1").write_bytes(b"defg")
+    rows = pa.record_batch({"temp": ["t0", "t1"], "name": ["a", "b"], "bytes": [3, 4]})
+    for _ in range(2):
+        assert list(warc._renamer(f"file://{tmp_path}")([rows]))[0].column(0).to_pylist() == ["a", "b"]
+    assert sorted(os.listdir(tmp_path)) == ["a", "b"]
+    (tmp_path / "b").write_bytes(b"d")
+    with pytest.raises(FileNotFoundError):
+        list(warc._renamer(f"file://{tmp_path}")([rows]))
+
+
 def test_nothing(spark, folder):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.write_warc(df, folder).count() == 0
