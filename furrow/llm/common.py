@@ -37,12 +37,12 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str, tidy: bool = False):
         self.spark, self.name, self.paths, self.tidy = spark, name, {}, tidy
 
-    def write(self, df: DataFrame, key: str) -> DataFrame:
+    def write(self, df: DataFrame, key: str, codec: str = "snappy") -> DataFrame:
         path = scratch_path(self.spark, f"{self.name}-{key}")
         before = self.spark.conf.get(SHUFFLE_CLEANUP)
         self.spark.conf.set(SHUFFLE_CLEANUP, "true" if self.tidy else before)
         try:
-            df.write.mode("overwrite").parquet(path)
+            df.write.mode("overwrite").parquet(path, compression=codec)
         finally:
             self.spark.conf.set(SHUFFLE_CLEANUP, before)
         self.paths[key] = path

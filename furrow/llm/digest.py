@@ -6,7 +6,8 @@ among all windows of the corpus is its rank (fitted by one pass, a table of
 the rarest level gains a point; windows with 16 points or more are the text's
 features. Where more than 256 windows in a row hold none (repeated words), and
 in a text that has none (a short one), every window with a point is one, so only
-empty texts have empty digests. Features go, 160 at a time, into a chain of
+empty texts have empty digests. A text below 512 bytes has few windows that an
+edit leaves whole, so all its runs of 8 bytes are features too. Features go, 160 at a time, into a chain of
 Bloom filters of 2048 bits with five bits each. Likeness compares filters by the bits they share,
 normalised by what chance alone would share.
 
@@ -23,15 +24,17 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from furrow.llm.common import batches
+from furrow.llm.common import Scratch, batches, shuffle_partitions
 from furrow.llm.substring import LOWEST, buckets_for
 
 WINDOW, RUN, LEVELS = 64, 64, 1001
 POINTS, FEATURES, BITS, HASHES = 16, 160, 2048, 5
+#: A text of fewer bytes than ``SHORT`` is also known by all its windows of ``NARROW`` bytes.
+SHORT, NARROW = 512, 8
 #: More windows than this in a row without a feature count each that has a point.
 GAP = 4 * RUN
 _SCALE = 1 << 20
@@ -168,11 +171,10 @@ class Digest:
 
     @classmethod
     def build(cls, data: bytes, places: np.ndarray) -> Digest:
-        """The digest of a text by its windows at ``places``; a text shorter than a window is its own feature."""
-        if len(data) < WINDOW:
-            parts = [data] if data else []
-        else:
-            parts = (data[i : i + WINDOW] for i in places.tolist())
+        """The digest of a text by its windows at ``places`` and, if it is short, its narrow ones (or its few bytes)."""
+        parts = [data[i : i + WINDOW] for i in places.tolist()]
+        if len(data) < SHORT:
+            parts += [data[i : i + NARROW] for i in range(max(1, len(data) - NARROW + 1))] if data else []
         hashes = np.array(list(dict.fromkeys(xxhash.xxh64_intdigest(p) for p in parts)), "u8")
         chain = [hashes[i : i + FEATURES] for i in range(0, len(hashes), FEATURES)]
         filters = np.zeros((len(chain), BITS), bool)
@@ -286,7 +288,13 @@ def _compare(pairs: list[tuple], rank: np.ndarray) -> Iterator[tuple]:
         yield doc_id, len(old.text), sha, str(old.digest), str(other), likeness(old.digest, other), likeness(old.digest, following.digest)
 
 
-def compare_edited(docs: DataFrame, rank: np.ndarray, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = 16 << 20) -> DataFrame:
+_FIRST, _LAST = 1, 2
+_RESULT = [("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string())]
+_RESULT += [("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())]
+_RESULT_SQL = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+
+
+def compare_edited(docs: DataFrame, rank: np.ndarray, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = 128 << 20) -> DataFrame:
     """Fingerprints of all texts and of their edits, and their likeness to the edit and to the next document.
 
     The next document is that with the next smaller doc_id; after the smallest
@@ -294,51 +302,53 @@ def compare_edited(docs: DataFrame, rank: np.ndarray, id_col: str = "doc_id", te
     doc_ids are ordered by their texts' hashes; a null doc_id is the smallest.
     A null text is empty. Other columns are not read. No rows in, no rows out.
 
-    Rows are dealt to ranges of doc_id, split between tasks by quantiles; the
-    first row of each range is also sent to the range before it.
+    Rows are range-partitioned by (doc_id, text hash), so rows without a doc_id
+    are split too. A task compares neighbours as they pass and hands on its
+    first and last document; those are joined afterwards, one pair a task.
     """
+    spark = docs.sparkSession
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    base = base.select("doc_id", "text", F.coalesce("doc_id", F.lit(LOWEST)).alias("k"), F.xxhash64("text").alias("th"))
-    ranges = buckets_for(base, bucket_bytes, least=2)
-    quantiles = [i / ranges for i in range(1, ranges)]
-    cuts = base.select(F.col("k").cast("double")).approxQuantile("k", quantiles, 0.25 / ranges)
-    splits = [-float("inf"), *(sorted(set(cuts)) or [0.0]), float("inf")]
-    placed = Bucketizer(splits=splits, inputCol="at", outputCol="range").transform(base.withColumn("at", F.col("k").cast("double")))
-    placed = placed.withColumn("range", F.col("range").cast("int")).drop("at")
-    # one row a range: its first document in descending order
-    firsts = placed.groupBy("range").agg(F.max(F.struct("k", "th")).alias("x")).orderBy(F.desc("range")).collect()
-    ahead = [(f.x.k, f.x.th, firsts[i - 1].range) for i, f in enumerate(firsts)]
-    ahead = base.sparkSession.createDataFrame(ahead, "k long, th long, also int")
-    sent = placed.join(F.broadcast(ahead), ["k", "th"], "left").select(
-        "doc_id", "text", "k", "th", F.explode(F.array(F.struct("range", F.lit(0).alias("extra")), F.struct(F.col("also").alias("range"), F.lit(1).alias("extra")))).alias("to")
-    )
-    sent = sent.select("to.range", "to.extra", "doc_id", "text", "k", "th").where("range IS NOT NULL")
-    schema = pa.schema(
-        [("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string())]
-        + [("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())]
-    )
+    order = [F.coalesce("doc_id", F.lit(LOWEST)).desc(), F.xxhash64("text").desc()]
+    ranges = buckets_for(base, bucket_bytes, least=shuffle_partitions(spark))
+    result, schema = pa.schema(_RESULT), pa.schema([("kind", pa.int32()), ("part", pa.int32()), ("text", pa.string()), *_RESULT])
+    nothing = (None,) * (len(_RESULT) - 1)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = TaskContext.get().partitionId()
+
         def rows() -> Iterator[tuple]:
             last = None
             for part in parts:
-                ranges_, extras, ids = (part.column(i).to_pylist() for i in range(3))
-                column = part.column(3)
+                ids, column = part.column(0).to_pylist(), part.column(1)
                 for group in _groups([s.as_py() for s in pc.binary_length(column)]):
-                    texts = column[group].to_pylist()
-                    fresh = _read(texts, rank)
                     pairs = []
-                    for at, extra, doc_id, now in zip(ranges_[group], extras[group], ids[group], fresh, strict=True):
-                        if last and last[0] == at:
-                            pairs.append((last[1], last[2], now))
-                        last = None if extra else (at, doc_id, now)
-                    yield from _compare(pairs, rank)
+                    for doc_id, now in zip(ids[group], _read(column[group].to_pylist(), rank), strict=True):
+                        if last:
+                            pairs.append((*last, now))
+                        else:
+                            yield _FIRST, at, now.text, doc_id, *nothing
+                        last = doc_id, now
+                    for row in _compare(pairs, rank):
+                        yield 0, at, None, *row
+            if last:
+                yield _LAST, at, last[1].text, last[0], *nothing
 
         yield from batches(rows(), schema, 1024)
 
-    return (
-        sent.repartition("range")
-        .sortWithinPartitions("range", "extra", F.desc("k"), F.desc("th"))
-        .select("range", "extra", "doc_id", "text")
-        .mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
-    )
+    def across(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple]:
+            for part in parts:
+                for doc_id, *both in zip(*part.columns, strict=True):
+                    yield from _compare([(doc_id.as_py(), *_read([t.as_py() for t in both], rank))], rank)
+
+        yield from batches(rows(), result, 1024)
+
+    ranged = base.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    done = Scratch(spark, "digest").write(ranged.mapInArrow(run, f"kind int, part int, text string, {_RESULT_SQL}"), "neighbours", codec="zstd")
+    first = done.where(f"kind = {_FIRST}").select("part", F.col("text").alias("following"))
+    last = done.where(f"kind = {_LAST}").select("part", "doc_id", "text")
+    every = Window.partitionBy(F.lit(0))  # one number a task
+    after = F.coalesce(F.lead("part").over(every.orderBy("part")), F.min("part").over(every)).alias("after")
+    ends = last.join(first.select("part", after), "part").join(first.withColumnRenamed("part", "after"), "after")
+    rest = ends.select("doc_id", "text", "following").mapInArrow(across, _RESULT_SQL)
+    return done.where("kind = 0").select(*result.names).unionByName(rest)

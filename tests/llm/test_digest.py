@@ -114,3 +114,28 @@ def test_texts_without_features_in_spark(spark):
     assert [bool(got[i].fingerprint) for i in range(1, 6)] == [True, True, True, False, True]
     assert got[2].near_next < 1 and got[2].near_edited > 0
     assert sorted(map(tuple, got.values()), key=str) == brute_rows(rows, rank)
+
+
+def test_edits_of_short_texts_are_near(spark):
+    rank = np.random.default_rng(4).permutation(1001).astype("u2")
+    bodies = texts(24, 11)
+    of = lambda t: digest.Digest.of(t, rank)
+    for n in (20, 40, 60, 100, 200, 300, 500, 520):
+        near = [digest.likeness(of(a[:n]), of(digest.edited(a[:n], b[:n]))) for a, b in zip(bodies, bodies[1:])]
+        apart = [digest.likeness(of(a[:n]), of(b[:n])) for a, b in zip(bodies, bodies[1:])]
+        assert np.mean(near) > 0.4 and np.mean(apart) < 0.1, (n, np.mean(near), np.mean(apart))
+    a = bodies[0][:540]
+    assert digest.likeness(of(a), of(digest.edited(a, "x" * 20))) > 0.4  # the edit is short, the text is not
+
+
+def test_rows_without_an_id_in_many_ranges(spark):
+    rows = [(None, f"{t} {i}") for i, t in enumerate(texts(60, 5))] + [(i, t) for i, t in enumerate(texts(5, 6))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    rank = np.arange(1001).astype("u2")
+    got = digest.compare_edited(df, rank, bucket_bytes=4000).collect()
+    assert len(got) == len(rows) and {r.doc_id for r in got} == {None, *range(5)}
+    order = sorted(rows, key=lambda r: -1 if r[0] is None else r[0], reverse=True)
+    prints = Counter(str(digest.Digest.of(t, rank)) for _, t in order)
+    assert Counter(r.fingerprint for r in got) == prints
+    whole = digest.compare_edited(df, rank).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(map(tuple, whole), key=str)
