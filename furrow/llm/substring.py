@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from furrow.llm.common import Scratch, batches, window_hashes, word_hashes, words
+from furrow.llm.common import Scratch, batches, shuffle_partitions, window_hashes, word_hashes, words
 
 PERIOD = 13
 #: Every difference modulo 13 is that of two of these.
@@ -244,8 +244,10 @@ def _sender(make, wide: bool, buckets: int):
     return run
 
 
-def _bucketed(sent: DataFrame, wide: bool) -> DataFrame:
-    return sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_reduce(wide), _FOUND_SQL)
+def _bucketed(sent: DataFrame, wide: bool, buckets: int) -> DataFrame:
+    """What the buckets find; there are as many tasks as buckets, or as the session says if that is more."""
+    tasks = max(buckets, shuffle_partitions(sent.sparkSession))
+    return sent.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(_reduce(wide), _FOUND_SQL)
 
 
 def repeated_windows(base: DataFrame, squeezed: DataFrame, width: int, scratch: Scratch, bucket_bytes: int) -> DataFrame:
@@ -254,11 +256,11 @@ def repeated_windows(base: DataFrame, squeezed: DataFrame, width: int, scratch:
         raise ValueError(f"windows need at least {PERIOD} words")
     buckets = buckets_for(base, bucket_bytes)
     run = width - PERIOD + 1
-    anchors = _bucketed(base.mapInArrow(_sender(lambda d: _anchors(d, run), False, buckets), _SENT_SQL), False)
+    anchors = _bucketed(base.mapInArrow(_sender(lambda d: _anchors(d, run), False, buckets), _SENT_SQL), False, buckets)
     anchors = scratch.write(anchors, "anchors")
     scratch.release()
     near = squeezed.join(anchors.groupBy("k", "th").agg(F.collect_list("at").alias("at")), ["k", "th"]).select("k", "th", "z", "at")
-    found = scratch.write(_bucketed(near.mapInArrow(_sender(lambda d: _windows(d, width), True, buckets), _SENT_SQL), True), "windows")
+    found = scratch.write(_bucketed(near.mapInArrow(_sender(lambda d: _windows(d, width), True, buckets), _SENT_SQL), True, buckets), "windows")
     scratch.drop("anchors")
     scratch.release()
     return found
