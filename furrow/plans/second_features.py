@@ -56,7 +56,7 @@ def run_all_features(train: DataFrame, test: DataFrame) -> tuple[DataFrame, Data
         last = [*names, *[f"ce_{c}" for c in cats]]
         return out.select(*df.columns, *[c for c in out.columns if c not in df.columns and c not in last], *last)
 
-    # the test rows are read twice: for the constant columns and for the result
-    tr, te = build("train", train), write_table(build("test", test), "second-test-wide")
+    # both stay projections of written tables: only the few columns that may be constant are worked out twice
+    tr, te = build("train", train), build("test", test)
     drop = constant_columns(te)
     return tr.drop(*drop), te.drop(*drop), drop
