@@ -5,6 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from furrow.operators.encoders import CodeMap, fit_count_encoder, fit_frequency_rank, fit_sorted_codes
 from furrow.operators.impute import medians, wide_medians
 from furrow.operators.lookups import pack_and_join
 from furrow.operators.target import TargetEncoder, TargetGlobals, small_keys, target_columns, target_encode_oof, target_joins, target_tables
@@ -45,3 +46,19 @@ def test_rows_with_and_without_a_fold_share_the_joins(spark):
 
     assert rows(got.where("fold IS NOT NULL")) == rows(oof)
     assert rows(got.where("fold IS NULL")) == rows(full)
+
+
+def test_code_joins_of_a_small_table_share_a_broadcast(spark):
+    cols = ["p", "q", "s"]
+    df = spark.createDataFrame([("a", "1", None), ("b", None, "x"), ("a", "2", "x"), (None, "1", "a")], "p string, q string, s string")
+    rows = df.unionByName(spark.createDataFrame([("1", "a", "new")], df.schema))
+    for codes in (fit_sorted_codes(df, cols), fit_count_encoder(df, cols), fit_frequency_rank(df, cols, 1)):
+        out = codes.transform(rows, cols, suffix="_code")
+        with planned_once(spark):
+            plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ReusedExchange") == len(cols) - 1
+        # the same codes as by a slice of the table for each column
+        apart = CodeMap(codes.table, codes.defaults, codes.fill_missing, codes.out_type, small=False)
+        assert sorted(map(str, out.collect())) == sorted(map(str, apart.transform(rows, cols, suffix="_code").collect()))
+    found = fit_sorted_codes(df, cols).transform(rows, cols, suffix="_code")
+    assert sorted(tuple(r) for r in found.select("p_code", "q_code", "s_code").collect()) == sorted([(1, 0, 0), (2, 2, 2), (1, 1, 2), (0, 0, 1), (-1, -1, -1)])
