@@ -6,6 +6,7 @@ import random
 from pyspark.sql import functions as F
 
 from furrow.operators.encoders import CodeMap, fit_count_encoder, fit_frequency_rank, fit_sorted_codes
+from furrow.operators.groups import fit_group_lookups
 from furrow.operators.impute import medians, wide_medians
 from furrow.operators.lookups import pack_and_join
 from furrow.operators.target import TargetEncoder, TargetGlobals, small_keys, target_columns, target_encode_oof, target_joins, target_tables
@@ -62,3 +63,29 @@ def test_code_joins_of_a_small_table_share_a_broadcast(spark):
         assert sorted(map(str, out.collect())) == sorted(map(str, apart.transform(rows, cols, suffix="_code").collect()))
     found = fit_sorted_codes(df, cols).transform(rows, cols, suffix="_code")
     assert sorted(tuple(r) for r in found.select("p_code", "q_code", "s_code").collect()) == sorted([(1, 0, 0), (2, 2, 2), (1, 1, 2), (0, 0, 1), (-1, -1, -1)])
+
+
+def test_quantiles_of_a_key_are_one_join(spark):
+    r = random.Random(7)
+    rows = [(r.choice(["x", "y", None]), r.randrange(3), r.gauss(0, 1), float(r.randrange(4)) if i % 3 else None, math.inf if i % 50 == 0 else r.random())
+            for i in range(400)]
+    rows += [("bare", 9, None, None, math.nan)] * 2  # a group without a value
+    df = spark.createDataFrame(rows, "k string, n int, a double, b double, c double")
+    cols = ["a", "b", "c"]
+    lookups = fit_group_lookups(df, {"k": (cols, ["mean", "median", "count"]), "n": (["a", "b"], ["median"])}, {"k": ["a", "c"]}, [10, 90])
+    for key, wanted in (("k", [(c, "median", 0.5) for c in cols] + [(c, f"q{p}", p / 100) for c in ("a", "c") for p in (10, 90)]),
+                        ("n", [(c, "median", 0.5) for c in ("a", "b")])):
+        with planned_once(spark):
+            plan = lookups[key]._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("HashJoin") == 1
+        got = {row[key]: row for row in lookups[key].collect()}
+        assert set(got) == {row[0 if key == "k" else 1] for row in rows}
+        for value, row in got.items():
+            for c, name, p in wanted:
+                have = sorted(v for v in (x["k n a b c".split().index(c)] for x in rows if x["kn".index(key)] == value) if v is not None and not math.isnan(v))
+                if not have:
+                    assert row[f"FE_{key}_{c}_{name}"] is None
+                    continue
+                h = (len(have) - 1) * p
+                lo, hi = have[math.floor(h)], have[math.ceil(h)]
+                assert math.isclose(row[f"FE_{key}_{c}_{name}"], lo + (h - math.floor(h)) * (hi - lo), rel_tol=1e-12, abs_tol=1e-12)
