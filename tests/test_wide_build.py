@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from furrow.operators.encoders import CodeMap, fit_count_encoder, fit_frequency_rank, fit_sorted_codes
 from furrow.operators.groups import fit_group_lookups
 from furrow.operators.impute import medians, wide_medians
-from furrow.operators.lookups import pack_and_join
+from furrow.operators.lookups import BUNDLE, pack_and_join
 from furrow.operators.target import TargetEncoder, TargetGlobals, small_keys, target_columns, target_encode_oof, target_joins, target_tables
 from furrow.session import planned_once
 
@@ -89,3 +89,23 @@ def test_quantiles_of_a_key_are_one_join(spark):
                 h = (len(have) - 1) * p
                 lo, hi = have[math.floor(h)], have[math.ceil(h)]
                 assert math.isclose(row[f"FE_{key}_{c}_{name}"], lo + (h - math.floor(h)) * (hi - lo), rel_tol=1e-12, abs_tol=1e-12)
+
+
+def _joins(plan):
+    below = [plan.children().apply(i) for i in range(plan.children().size())]
+    return [plan] * (plan.nodeName() == "Join") + [x for p in below for x in _joins(p)]
+
+
+def test_many_lookups_copy_few_columns_and_give_the_same(spark):
+    n = 2 * BUNDLE + 3
+    df = spark.createDataFrame([(i, [None, "a", "b", "unseen"][i % 4]) for i in range(12)] + [(None, None), (3, "a"), (3, "a")], "id long, k string")
+    lookups = [spark.createDataFrame([(None, 100 + j), ("a", 200 + j), ("b", None)], "k string, v int") for j in range(n)]
+    joins = [(f"__x{j}", [F.concat(F.lit(""), F.col("k"))], lk, ["k"], ["v"], True) for j, lk in enumerate(lookups)]
+    packed = pack_and_join(df, joins)
+    assert packed.columns == ["__row", *[f"__x{j}" for j in range(n)]]
+    found = packed.select("__row.*", *[F.col(f"__x{j}")["v"].alias(f"v{j}") for j in range(n)], F.col("__x0").isNull().alias("none")).collect()
+    want = [(r["id"], r["k"], *[{None: 100 + j, "a": 200 + j}.get(r["k"]) for j in range(n)], r["k"] == "unseen") for r in df.collect()]
+    assert sorted(map(tuple, found), key=str) == sorted(want, key=str)
+    widths = [p.output().size() for p in _joins(packed._jdf.queryExecution().optimizedPlan())]
+    assert len(widths) == n and max(widths) <= 4 + n // BUNDLE + BUNDLE, widths
+    assert pack_and_join(df, []).select("__row.*").count() == df.count()
