@@ -2,7 +2,9 @@
 
 import math
 import random
+from unittest.mock import Mock
 
+from py4j.protocol import Py4JError
 from pyspark.sql import functions as F
 
 from furrow.operators.encoders import CodeMap, fit_count_encoder, fit_frequency_rank, fit_sorted_codes
@@ -10,7 +12,7 @@ from furrow.operators.groups import fit_group_lookups
 from furrow.operators.impute import medians, wide_medians
 from furrow.operators.lookups import BUNDLE, pack_and_join
 from furrow.operators.target import TargetEncoder, TargetGlobals, small_keys, target_columns, target_encode_oof, target_joins, target_tables
-from furrow.session import planned_once
+from furrow.session import planned_once, release, trim_native_heap
 
 
 def test_wide_medians_are_exact(spark):
@@ -109,3 +111,12 @@ def test_many_lookups_copy_few_columns_and_give_the_same(spark):
     widths = [p.output().size() for p in _joins(packed._jdf.queryExecution().optimizedPlan())]
     assert len(widths) == n and max(widths) <= 4 + n // BUNDLE + BUNDLE, widths
     assert pack_and_join(df, []).select("__row.*").count() == df.count()
+
+
+def test_release_gives_freed_native_memory_back(spark):
+    said = trim_native_heap(spark)
+    assert said is None or said.startswith("Trim native heap")
+    release(spark)
+    other = Mock()
+    other.sparkContext._jvm.java.lang.Class.forName.side_effect = Py4JError("no such command")
+    assert trim_native_heap(other) is None
